@@ -13,12 +13,19 @@ from tillbook.schemas import PRODUCT_CATEGORY, RFM_SEGMENT
 
 def dim_customer(orders: DataFrame) -> DataFrame:
     """One row per customer; cancelled invoices count too."""
-    day = F.to_date("invoice_date")
-    customers = orders.groupBy("customer_id").agg(
+    # Text maxima cannot be hash-aggregated, so countries become groups first: the order
+    # lines are only hashed, down to a customer's countries and invoices.
+    columns = ("customer_id", "country", "invoice_no")
+    pieces = (
+        orders.select(*columns, F.to_date("invoice_date").alias("day"))
+        .groupingSets([["customer_id", "country"], ["customer_id", "invoice_no"]], *columns)
+        .agg(F.min("day").alias("first_day"), F.max("day").alias("last_day"))
+    )
+    customers = pieces.groupBy("customer_id").agg(
         F.max("country").alias("country"),
-        F.min(day).alias("first_purchase_date"),
-        F.max(day).alias("last_purchase_date"),
-        F.countDistinct("invoice_no").alias("total_orders"),
+        F.min("first_day").alias("first_purchase_date"),
+        F.max("last_day").alias("last_purchase_date"),
+        F.count("invoice_no").alias("total_orders"),
     )
     keyed = assign_dense_key(customers, ["customer_id"], "customer_key")
     return keyed.withColumn("rfm_segment", F.lit(RFM_SEGMENT))
@@ -26,9 +33,13 @@ def dim_customer(orders: DataFrame) -> DataFrame:
 
 def dim_product(orders: DataFrame) -> DataFrame:
     """One row per stock code."""
-    products = orders.groupBy("stock_code").agg(
+    # As above: descriptions are groups while there are many lines.
+    described = orders.groupBy("stock_code", "description").agg(
+        F.sum("unit_price_gbp").alias("price_sum"), F.count("unit_price_gbp").alias("priced")
+    )
+    products = described.groupBy("stock_code").agg(
         F.max("description").alias("description"),
-        F.round(F.avg("unit_price_gbp"), 2).alias("avg_price_gbp"),
+        F.round(F.try_divide(F.sum("price_sum"), F.sum("priced")), 2).alias("avg_price_gbp"),
     )
     keyed = assign_dense_key(products, ["stock_code"], "product_key")
     return keyed.withColumn("category", F.lit(PRODUCT_CATEGORY))
