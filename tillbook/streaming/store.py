@@ -19,6 +19,8 @@ from tillbook.sinks.lake import write_partitions
 ROWS_PER_FILE = 500_000
 # With more days in a batch than this, the whole store is read instead of its days.
 MAX_DAYS = 400
+# With more days than this, their folders are read without a time filter on each.
+MAX_SPANS = 10
 
 
 def append_events(batch: DataFrame, batch_id: int, store: str) -> None:
@@ -48,15 +50,17 @@ def read_events(spark: SparkSession, store: str) -> DataFrame:
 
 
 def _read_spans(spark: SparkSession, store: str, spans: list[Row]) -> DataFrame:
-    """Stored events of the given days, each between its ``first`` and ``last`` second."""
+    """Stored events of the given days, if few each between its ``first`` and ``last``."""
     folders = [f"{store}/date={span['date']}" for span in spans]
+    days = spark.read.schema(STORED_EVENT).option("basePath", store).parquet(*folders)
+    if len(spans) > MAX_SPANS:
+        return days
     moment = F.col("invoice_date")
     within = [
         (moment >= F.timestamp_seconds(F.lit(span["first"])))
         & (moment < F.timestamp_seconds(F.lit(span["last"])))
         for span in spans
     ]
-    days = spark.read.schema(STORED_EVENT).option("basePath", store).parquet(*folders)
     return days.filter(reduce(lambda a, b: a | b, within))
 
 
