@@ -1,0 +1,95 @@
+from __future__ import annotations
+
+import datetime as dt
+import json
+
+import pytest
+from rows import raw_line, raw_orders, rates
+
+from tillbook.operators import profile
+from tillbook.schemas import RAW_ORDERS
+from tillbook.sources.rates import flatten_rates, latest_rate, read_responses
+from tillbook.sources.tables import land_orders, read_orders_csv, read_table
+
+
+def test_shape_and_null_counts(spark):
+    raw = raw_orders(
+        spark, raw_line(), raw_line(customer=None, country=None), raw_line(customer=float("nan"))
+    )
+    assert tuple(profile.shape(raw).first()) == (3, 8)
+    counts = {row["column_name"]: row["null_count"] for row in profile.null_counts(raw).collect()}
+    assert counts == dict.fromkeys(raw.columns, 0) | {"Customer ID": 2, "Country": 1}
+
+
+def test_top_groups(spark):
+    names = ["EIRE", "EIRE", "France", "France", "USA", None, "Spain", "Italy", "Malta"]
+    raw = raw_orders(
+        spark, *(raw_line(invoice=str(i // 2), country=name) for i, name in enumerate(names))
+    )
+    countries = [tuple(row) for row in profile.top_countries(raw).collect()]
+    assert countries == [("EIRE", 2), ("France", 2), ("Italy", 1), ("Malta", 1), ("Spain", 1)]
+    assert [tuple(row) for row in profile.top_invoices(raw, 2).collect()] == [("0", 2), ("1", 2)]
+
+
+def test_preview_and_customer_copy(spark):
+    raw = raw_orders(spark, *(raw_line(invoice=str(i)) for i in range(9, -1, -1)))
+    shown = profile.preview(raw, ["Invoice"], 3).collect()
+    assert [row["Invoice"] for row in shown] == ["0", "1", "2"]
+    assert profile.with_customer_copy(raw).first()["CustomerID"] == 13085.0
+
+
+def test_dated_rates_view(spark):
+    fx = rates(spark, (dt.date(2009, 12, 7), 1.5))
+    profile.dated_rates(fx, "rates_by_part")
+    assert tuple(spark.sql("SELECT * FROM rates_by_part").first()) == (2009, "December", 7, 1.5)
+
+
+def test_flatten_rates_from_files(spark, tmp_path):
+    first = {"rates": {"2009-01-02": {"USD": 1.45}, "2009-01-05": {}}}
+    second = {"base": "GBP", "rates": {"2009-01-06": {"EUR": 1.1, "USD": 1.5}}}
+    (tmp_path / "a.json").write_text(json.dumps(first, indent=2))
+    (tmp_path / "b.json").write_text(json.dumps(second))
+    rows = flatten_rates(read_responses(spark, str(tmp_path))).collect()
+    assert sorted(map(tuple, rows)) == [
+        (dt.date(2009, 1, 2), 1.45),
+        (dt.date(2009, 1, 5), None),
+        (dt.date(2009, 1, 6), 1.5),
+    ]
+
+
+@pytest.mark.parametrize(
+    ("rows", "rate"),
+    [
+        ([(dt.date(2009, 1, 2), 1.45), (dt.date(2009, 1, 5), 1.5)], 1.5),
+        ([(dt.date(2009, 1, 2), 1.45), (dt.date(2009, 1, 5), None)], 1.27),
+        ([], 1.27),
+    ],
+)
+def test_latest_rate(spark, rows, rate):
+    assert latest_rate(rates(spark, *rows)).first()["gbp_to_usd"] == rate
+
+
+def test_landing_from_csv(spark, tmp_path):
+    path = tmp_path / "orders.csv"
+    path.write_text(
+        "Invoice,StockCode,Description,Quantity,InvoiceDate,Price,Customer ID,Country\n"
+        "489434,85048,nan,12,2009-12-01 07:45:00,6.95,13085.0,United Kingdom\n"
+        "C489449,22087,PAPER BUNTING,-12,2009-12-01 10:33:00,2.95,,nan\n"
+    )
+    landed = land_orders(read_orders_csv(spark, str(path)))
+    assert [(f.name, f.dataType) for f in landed.schema] == [
+        (f.name, f.dataType) for f in RAW_ORDERS
+    ]
+    rows = {row["Invoice"]: row for row in landed.collect()}
+    assert rows["489434"]["Description"] is None
+    assert rows["489434"]["InvoiceDate"] == dt.datetime(2009, 12, 1, 7, 45)
+    assert rows["489434"]["Customer ID"] == 13085.0
+    assert rows["C489449"]["Quantity"] == -12
+    assert rows["C489449"]["Customer ID"] is None
+    assert rows["C489449"]["Country"] is None
+
+
+def test_read_table_with_schema(spark, tmp_path):
+    path = str(tmp_path / "raw")
+    raw_orders(spark, raw_line()).write.parquet(path)
+    assert read_table(spark, path, RAW_ORDERS).first() == read_table(spark, path).first()

@@ -10,7 +10,7 @@ from tillbook.schemas import RATE_RESPONSE, STREAM_FALLBACK_RATE
 
 def read_responses(spark: SparkSession, path: str) -> DataFrame:
     """Landed response files, one JSON document each, in ``value``."""
-    return spark.read.option("wholetext", True).text(path)
+    return spark.read.text(path, wholetext=True)
 
 
 def flatten_rates(responses: DataFrame) -> DataFrame:
