@@ -1,0 +1,71 @@
+"""The commands, one after the other, on one lake."""
+
+from __future__ import annotations
+
+import json
+
+import pytest
+
+from tillbook import __main__ as jobs
+
+ORDERS = """Invoice,StockCode,Description,Quantity,InvoiceDate,Price,Customer ID,Country
+489434,85048,LIGHTS,12,2009-12-01 07:45:00,6.95,13085.0,United Kingdom
+489434,79323P,CHERRY,10,2009-12-01 07:45:00,6.75,13085.0,United Kingdom
+489435,POST,POSTAGE,1,2009-12-01 07:46:00,18.0,13086.0,France
+C489449,22087,BUNTING,-12,2009-12-01 10:33:00,2.95,16321.0,Australia
+489450,22087,BUNTING,900,2009-12-02 10:33:00,6.95,,EIRE
+"""
+RESPONSE = {"rates": {"2009-12-01": {"USD": 1.65}, "2009-12-02": {"USD": 1.66}}}
+
+
+@pytest.fixture
+def run(spark, monkeypatch):
+    monkeypatch.setattr(jobs, "build_session", lambda: spark)
+    return lambda *argv: jobs.main(argv)
+
+
+def test_from_files_to_star_and_metrics(spark, run, tmp_path):
+    (tmp_path / "orders.csv").write_text(ORDERS)
+    (tmp_path / "responses").mkdir()
+    (tmp_path / "responses" / "2009.json").write_text(json.dumps(RESPONSE))
+    lake, messages = str(tmp_path / "lake"), str(tmp_path / "messages")
+
+    responses = str(tmp_path / "responses")
+    run("land", "--lake", lake, "--orders", str(tmp_path / "orders.csv"), "--responses", responses)
+    run("clean", "--lake", lake)
+    run("star", "--lake", lake)
+    fact = spark.read.parquet(f"{lake}/curated/fact_orders").orderBy("order_key").collect()
+    assert [(row["invoice_no"], row["exchange_rate"]) for row in fact] == [
+        ("489434", 1.65),
+        ("489434", 1.65),
+        ("C489449", 1.65),
+    ]
+
+    run("replay", "--lake", lake, "--folder", messages)
+    run("stream", "--lake", lake, "--folder", messages, "--available-now")
+    stored = spark.read.parquet(f"{lake}/processed/streaming")
+    assert stored.count() == 5
+    assert stored.filter("is_anomaly").count() == 2
+    assert stored.filter("stock_code = 'POST'").first()["unit_price_usd"] == 29.88
+    metrics = spark.read.parquet(f"{lake}/processed/metrics").orderBy("window_start").collect()
+    assert [row["order_count"] for row in metrics] == [2, 1, 1]
+
+
+def test_star_and_metrics_go_to_the_warehouse(spark, run, monkeypatch):
+    calls = []
+    monkeypatch.setattr(jobs.batch, "star_table", lambda spark, lake, name: name)
+    monkeypatch.setattr(jobs, "read_metrics", lambda spark, path: path)
+    monkeypatch.setattr(jobs, "refresh_star", lambda *args: calls.append(args))
+    monkeypatch.setattr(jobs, "refresh_table", lambda *args: calls.append(args))
+    monkeypatch.setenv("WAREHOUSE_USER", "u")
+    monkeypatch.delenv("WAREHOUSE_PASSWORD", raising=False)
+    run("publish", "--lake", "L", "--url", "jdbc:x")
+    run("publish-metrics", "--lake", "L", "--url", "jdbc:x")
+    tables, url, login = calls[0]
+    assert (len(tables), url, login) == (5, "jdbc:x", {"user": "u"})
+    assert calls[1][:2] == ("L/processed/metrics", "realtime_metrics")
+
+
+def test_a_message_source_is_needed(run):
+    with pytest.raises(SystemExit):
+        run("stream", "--lake", "L")

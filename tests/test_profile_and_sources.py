@@ -3,6 +3,8 @@ from __future__ import annotations
 import datetime as dt
 import json
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from rows import raw_line, raw_orders, rates
 
@@ -93,3 +95,16 @@ def test_read_table_with_schema(spark, tmp_path):
     path = str(tmp_path / "raw")
     raw_orders(spark, raw_line()).write.parquet(path)
     assert read_table(spark, path, RAW_ORDERS).first() == read_table(spark, path).first()
+
+
+def test_landing_nanosecond_parquet(spark, tmp_path):
+    when = dt.datetime(2009, 12, 1, 7, 45, 0, 123_457)
+    moments = pa.array([when, None], pa.timestamp("us")).cast(pa.timestamp("ns"))
+    columns = {f.name: pa.array(["1", "1"]) for f in RAW_ORDERS} | {"InvoiceDate": moments}
+    pq.write_table(pa.table(columns), str(tmp_path / "nanos.parquet"))
+    spark.conf.set("spark.sql.legacy.parquet.nanosAsLong", "true")
+    try:
+        rows = land_orders(read_table(spark, str(tmp_path / "nanos.parquet"))).collect()
+    finally:
+        spark.conf.unset("spark.sql.legacy.parquet.nanosAsLong")
+    assert [row["InvoiceDate"] for row in rows] == [when, None]

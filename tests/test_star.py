@@ -156,8 +156,6 @@ def test_batch_run_writes_every_table_and_drops_its_stages(spark, sf_dir, tmp_pa
     assert written.exceptAll(direct).count() == 0
     assert star["fact_orders"].count() == direct.count()
 
-    again = build_star(
-        spark, str(tmp_path / "lake/processed/cleaned_orders"), str(tmp_path / "again")
-    )
-    for name, table in star.items():
-        assert table.exceptAll(again[name]).count() == 0
+    once = {name: {tuple(row) for row in table.collect()} for name, table in star.items()}
+    again = build_star(spark, str(tmp_path / "lake"))
+    assert {name: {tuple(row) for row in table.collect()} for name, table in again.items()} == once

@@ -1,4 +1,8 @@
-"""The batch jobs: star build, and the run from landed sources to the star."""
+"""The batch jobs, from landed sources to the star schema.
+
+All tables live under one lake folder: ``raw/orders``, ``raw/exchange_rates``,
+``processed/cleaned_orders`` and ``curated/<star table>``.
+"""
 
 from __future__ import annotations
 
@@ -21,17 +25,41 @@ DIMENSIONS = {
 }
 
 
-def build_star(spark: SparkSession, cleaned: str, curated: str) -> dict[str, DataFrame]:
-    """Build the five star tables from the cleaned-orders table and write each once.
+def raw_orders(spark: SparkSession, lake: str) -> DataFrame:
+    return read_table(spark, f"{lake}/raw/orders", RAW_ORDERS)
+
+
+def exchange_rates(spark: SparkSession, lake: str) -> DataFrame:
+    return read_table(spark, f"{lake}/raw/exchange_rates", RATES)
+
+
+def star_table(spark: SparkSession, lake: str, name: str) -> DataFrame:
+    return read_table(spark, f"{lake}/curated/{name}")
+
+
+def land(orders: DataFrame, rate_responses: DataFrame, lake: str) -> None:
+    """Write the raw tables."""
+    write_table(land_orders(orders), f"{lake}/raw/orders")
+    write_table(flatten_rates(rate_responses), f"{lake}/raw/exchange_rates")
+
+
+def clean(spark: SparkSession, lake: str) -> None:
+    """Write the cleaned orders."""
+    cleaned = clean_orders(raw_orders(spark, lake), exchange_rates(spark, lake))
+    write_table(cleaned, f"{lake}/processed/cleaned_orders")
+
+
+def build_star(spark: SparkSession, lake: str) -> dict[str, DataFrame]:
+    """Write the five star tables, each once.
 
     The fact joins the written dimensions, so lake and warehouse get the same keys.
     """
-    orders = read_table(spark, cleaned)
+    orders = read_table(spark, f"{lake}/processed/cleaned_orders")
     tables = {}
     with staged_until_done(spark):
         for name, build in DIMENSIONS.items():
-            write_table(build(orders), f"{curated}/{name}")
-            tables[name] = read_table(spark, f"{curated}/{name}")
+            write_table(build(orders), f"{lake}/curated/{name}")
+            tables[name] = star_table(spark, lake, name)
         fact = build_fact_orders(
             orders,
             tables["dim_customer"],
@@ -39,20 +67,15 @@ def build_star(spark: SparkSession, cleaned: str, curated: str) -> dict[str, Dat
             tables["dim_country"],
             stored=True,
         )
-        write_table(fact, f"{curated}/fact_orders")
-    tables["fact_orders"] = read_table(spark, f"{curated}/fact_orders")
+        write_table(fact, f"{lake}/curated/fact_orders")
+    tables["fact_orders"] = star_table(spark, lake, "fact_orders")
     return tables
 
 
 def run_batch(
     spark: SparkSession, orders: DataFrame, rate_responses: DataFrame, lake: str
 ) -> dict[str, DataFrame]:
-    """Land orders and rates, clean, then build the star under ``lake``."""
-    write_table(land_orders(orders), f"{lake}/raw/orders")
-    write_table(flatten_rates(rate_responses), f"{lake}/raw/exchange_rates")
-    cleaned = clean_orders(
-        read_table(spark, f"{lake}/raw/orders", RAW_ORDERS),
-        read_table(spark, f"{lake}/raw/exchange_rates", RATES),
-    )
-    write_table(cleaned, f"{lake}/processed/cleaned_orders")
-    return build_star(spark, f"{lake}/processed/cleaned_orders", f"{lake}/curated")
+    """Land orders and rates, clean, then build the star."""
+    land(orders, rate_responses, lake)
+    clean(spark, lake)
+    return build_star(spark, lake)

@@ -54,6 +54,16 @@ def refresh_options(
     return options
 
 
+def refresh_table(
+    df: DataFrame, table: str, url: str, properties: Mapping[str, str], connections: int = 8
+) -> None:
+    """Empty and reload one table, such as the live metrics."""
+    options = refresh_options(url, table, properties, connections)
+    warehouse_columns(df, table).write.format("jdbc").options(**options).mode(
+        "overwrite"
+    ).save()
+
+
 def refresh_star(
     tables: Mapping[str, DataFrame],
     url: str,
@@ -68,6 +78,4 @@ def refresh_star(
     if missing:
         raise ValueError(f"missing tables: {', '.join(missing)}")
     for name in STAR_ORDER:
-        options = refresh_options(url, name, properties, connections)
-        rows = warehouse_columns(tables[name], name)
-        rows.write.format("jdbc").options(**options).mode("overwrite").save()
+        refresh_table(tables[name], name, url, properties, connections)

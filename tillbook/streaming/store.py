@@ -18,7 +18,7 @@ from tillbook.sinks.lake import write_partitions
 
 ROWS_PER_FILE = 500_000
 # With more days in a batch than this, the whole store is read instead of its days.
-MAX_DAYS = 400
+MAX_DAYS = 4000
 # With more days than this, their folders are read without a time filter on each.
 MAX_SPANS = 10
 
@@ -33,11 +33,14 @@ def append_events(batch: DataFrame, batch_id: int, store: str) -> None:
     if rows == 0:
         return
     files = -(-rows // ROWS_PER_FILE)
-    ranged = (
-        batch.withColumn("_place", F.monotonically_increasing_id())
-        .repartitionByRange(files, "invoice_date", "_place")
-        .drop("_place")
-    )
+    if files == 1:
+        ranged = batch.coalesce(1)
+    else:
+        ranged = (
+            batch.withColumn("_place", F.monotonically_increasing_id())
+            .repartitionByRange(files, "invoice_date", "_place")
+            .drop("_place")
+        )
     dated = ranged.withColumns(
         {"date": F.to_date("invoice_date"), "batch_id": F.lit(batch_id).cast("long")}
     )
@@ -71,10 +74,10 @@ def refresh_metrics(batch: DataFrame, batch_id: int, store: str, metrics: str) -
     Only the touched days are listed and only their touched time spans are read.
     """
     spark = batch.sparkSession
-    touched = in_windows(batch, F.to_date("invoice_date").alias("date")).distinct()
+    windows = in_windows(batch)
     spans = (
-        touched.select("date", "window_start", window_end())
-        .groupBy(F.col("date").cast("string").alias("date"))
+        windows.select("window_start", window_end())
+        .groupBy(F.to_date("window_start").cast("string").alias("date"))
         .agg(
             F.unix_seconds(F.min("window_start")).alias("first"),
             F.unix_seconds(F.max("window_end")).alias("last"),
@@ -90,7 +93,7 @@ def refresh_metrics(batch: DataFrame, batch_id: int, store: str, metrics: str) -
         lines = _read_spans(spark, store, spans)
     columns = [f.name for f in STORED_EVENT if f.name not in ("date", "batch_id")]
     in_touched = in_windows(lines, *columns).join(
-        touched.select("window_start"), "window_start", "left_semi"
+        windows.distinct(), "window_start", "left_semi"
     )
     dated = window_metrics(in_touched.select(columns)).withColumns(
         {"date": F.to_date("window_start"), "batch_id": F.lit(batch_id).cast("long")}
