@@ -90,6 +90,12 @@ def test_sparse_windows_equal_brute_force(spark):
     assert by_window(window_metrics(lines_of(spark, rows))) == brute_force(rows)
 
 
+def test_price_that_is_no_number_has_no_amount(spark):
+    rows = [event(quantity=2), event(price=float("nan")), event(invoice="2", price=None)]
+    row = window_metrics(lines_of(spark, rows)).first()
+    assert (row["order_count"], row["total_revenue_gbp"], row["avg_order_value"]) == (2, 20, 20)
+
+
 def test_ties_go_to_the_first_name(spark):
     rows = [
         event(invoice="1", code="B", quantity=2, country="USA"),
