@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from rows import cleaned_line, cleaned_orders
 
 from tillbook.operators.dims import dim_country, dim_customer, dim_date, dim_product
-from tillbook.operators.fact import FACT_COLUMNS, build_fact_orders
+from tillbook.operators.fact import FACT_COLUMNS, build_fact_orders, lookup_keys
 from tillbook.plans.batch import build_star, run_batch
 from tillbook.plans.catalog import _cleaned
 from tillbook.sources import fixtures
@@ -127,6 +127,44 @@ def test_order_keys_do_not_change_in_a_rerun_or_with_shuffle_joins(star_inputs):
         assert other.count() == once.count()
 
 
+def test_hot_customer_is_split_in_a_shuffle_join(spark, monkeypatch):
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+    }
+    before = {key: spark.conf.get(key) for key in settings}
+    spread = spark.range(40_000, numPartitions=8).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias(
+            "customer_id"
+        ),
+        F.col("id").cast("string").alias("invoice_no"),
+        F.lit("A").alias("stock_code"),
+        F.lit("France").alias("country"),
+    )
+    customers = spread.select("customer_id").distinct()
+    customers = stage(customers.withColumn("customer_key", F.xxhash64("customer_id")), "c")
+    products = spark.createDataFrame([("A", 1)], "stock_code string, product_key int")
+    countries = spark.createDataFrame([("France", 1)], "country_name string, country_key int")
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        joined, all_broadcast = lookup_keys(
+            spread, customers, products, countries, broadcast_limit=1000
+        )
+        assert not all_broadcast
+        assert joined.groupBy("customer_key").count().agg(F.max("count")).first()[0] == 13_334
+        joined.write.format("noop").mode("overwrite").save()
+        rows = joined.collect()
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    assert len(rows) == 40_000
+    assert "SortMergeJoin(skew=true)" in plan
+
+
 def test_line_without_known_country_is_left_out(spark):
     orders = cleaned_orders(spark, cleaned_line(country=None), cleaned_line(invoice="2"))
     fact = build_fact_orders(

@@ -117,7 +117,15 @@ def build_fact_orders(
         F.lit(False).alias("is_anomaly"),
         F.col("invoice_date").alias("event_timestamp"),
     )
+    source = orders
     if not (stored and all_broadcast):
-        lines = stage(lines, "fact_lines")
-    keyed = assign_dense_key(lines, FACT_ORDER, "order_key", "long", spread_copies=True)
+        source = lines = stage(lines, "fact_lines")
+    keyed = assign_dense_key(
+        lines,
+        FACT_ORDER,
+        "order_key",
+        "long",
+        spread_copies=True,
+        rows=source.count(),  # of stored files, which takes their footers only
+    )
     return keyed.select(*FACT_COLUMNS)

@@ -9,18 +9,31 @@ from pyspark.sql import functions as F
 
 from tillbook.staging import stage
 
+# Rows that one task sorts without much spilling, and how many tasks a shuffle bears.
+ROWS_PER_PARTITION = 5_000_000
+MAX_PARTITIONS = 20_000
+
 _COPY = "_copy"
 _SLOT = "_slot"
-# monotonically_increasing_id holds the partition above this bit and the row below it.
+# As documented, monotonically_increasing_id holds the partition in its upper 31 bits and the
+# row within it in the lower 33.
 _PARTITION_BIT = 33
 
 
+def _sort_partitions(df: DataFrame, rows: int | None) -> list[int]:
+    """A partition count where ``rows`` asks for more than the session's default, else none."""
+    default = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    wanted = min(-(-(rows or 0) // ROWS_PER_PARTITION), MAX_PARTITIONS)
+    return [wanted] if wanted > default else []
+
+
 def assign_dense_key(
     df: DataFrame,
     order_by: Sequence[str],
     name: str,
     key_type: str = "int",
     spread_copies: bool = False,
+    rows: int | None = None,
 ) -> DataFrame:
     """Add ``name``: 1..n in the order of ``order_by``, nulls first.
 
@@ -31,6 +44,9 @@ def assign_dense_key(
     ``spread_copies`` also cuts groups of rows equal in every column, by their place in the
     input. Retried tasks must then see their rows in the same order, so ``df`` has to be a
     scan of stored files followed by nothing but filters, projections and broadcast joins.
+
+    ``rows``, where known, sizes the sort of a large table; otherwise
+    ``spark.sql.shuffle.partitions`` does.
     """
     columns = df.columns
     order = [F.col(c).asc_nulls_first() for c in order_by]
@@ -39,7 +55,7 @@ def assign_dense_key(
         df = df.withColumn(_COPY, F.monotonically_increasing_id())
         split.append(F.col(_COPY).asc())
     placed = stage(
-        df.repartitionByRange(*split)
+        df.repartitionByRange(*_sort_partitions(df, rows), *split)
         .sortWithinPartitions(*order)
         .select(*columns, F.monotonically_increasing_id().alias(_SLOT)),
         name,
