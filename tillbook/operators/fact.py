@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -49,10 +52,19 @@ FACT_ORDER = (
 )
 
 
-def fits_broadcast(dim: DataFrame, key: str, limit: int = BROADCAST_BYTES) -> bool:
-    """Measure the key table; dimensions are stored tables, so this reads one column."""
-    rows, text = dim.agg(F.count(F.lit(1)), F.sum(F.octet_length(key))).first()
-    return (text or 0) + rows * _ROW_BYTES <= limit
+def measured_bytes(tables: Sequence[tuple[DataFrame, str]]) -> list[int]:
+    """Size of each key table when broadcast, by its text key; one small job for all."""
+    sizes = [
+        table.agg(
+            F.lit(place).alias("place"),
+            (F.coalesce(F.sum(F.octet_length(key)), F.lit(0)) + F.count(F.lit(1)) * _ROW_BYTES)
+            .cast("long")
+            .alias("bytes"),
+        )
+        for place, (table, key) in enumerate(tables)
+    ]
+    measured = reduce(DataFrame.unionAll, sizes).collect()
+    return [row["bytes"] for row in sorted(measured, key=lambda row: row["place"])]
 
 
 def lookup_keys(
@@ -72,15 +84,13 @@ def lookup_keys(
         (dim_product, "stock_code", "product_key", "stock_code"),
         (dim_customer, "customer_id", "customer_key", "customer_id"),
     )
-    all_broadcast = True
-    for dim, business_key, surrogate, column in lookups:
+    sizes = measured_bytes([(dim, business_key) for dim, business_key, _, _ in lookups])
+    for (dim, business_key, surrogate, column), size in zip(lookups, sizes, strict=True):
         keys = dim.select(F.col(business_key).alias(column), surrogate)
-        if fits_broadcast(dim, business_key, broadcast_limit):
+        if size <= broadcast_limit:
             keys = F.broadcast(keys)
-        else:
-            all_broadcast = False
         orders = orders.join(keys, column, "inner")
-    return orders, all_broadcast
+    return orders, max(sizes) <= broadcast_limit
 
 
 def build_fact_orders(

@@ -61,8 +61,12 @@ def assign_dense_key(
         name,
     )
 
+    place = F.col(_SLOT).bitwiseAND(F.lit((1 << _PARTITION_BIT) - 1))
+    if len(placed.inputFiles()) == 1:
+        # One task wrote all rows, so a row's place is its rank.
+        return placed.select(*columns, (place + 1).cast(key_type).alias(name))
+
     partition = F.shiftright(_SLOT, _PARTITION_BIT)
-    place = F.col(_SLOT) - F.shiftleft(partition, _PARTITION_BIT)
     earlier = Window.orderBy("_partition").rowsBetween(Window.unboundedPreceding, -1)
     # One row per task of the staging write.
     offsets = (
