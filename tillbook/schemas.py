@@ -9,6 +9,7 @@ BATCH_FALLBACK_RATE = 1.5
 STREAM_FALLBACK_RATE = 1.27
 ANOMALY_AMOUNT = 5000
 METRIC_WINDOW = "5 minutes"
+METRIC_WINDOW_SECONDS = 300
 NON_PRODUCT_CODE = "^[a-zA-Z]+$"
 CANCELLED_PREFIX = "C"
 EVENT_TIME_FORMAT = "yyyy-MM-dd'T'HH:mm:ss"

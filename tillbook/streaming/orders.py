@@ -8,15 +8,16 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tillbook.operators.events import enrich_events, parse_events
 from tillbook.schemas import STREAM_FALLBACK_RATE
-from tillbook.streaming.store import append_events, refresh_metrics
+from tillbook.streaming.store import append_events, batch_days, refresh_metrics
 
 
 def store_batch(batch: DataFrame, batch_id: int, store: str, metrics: str) -> None:
     """Both sinks of one micro-batch. Errors stop the stream, so no batch is skipped."""
     batch.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        append_events(batch, batch_id, store)
-        refresh_metrics(batch, batch_id, store, metrics)
+        days = batch_days(batch)
+        append_events(batch, batch_id, store, days)
+        refresh_metrics(batch, batch_id, store, metrics, days)
     finally:
         batch.unpersist()
 

@@ -12,8 +12,13 @@ from functools import reduce
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
-from tillbook.operators.metrics import KEYS, in_windows, window_end, window_metrics
-from tillbook.schemas import STORED_EVENT, STORED_METRICS, WINDOW_METRICS
+from tillbook.operators.metrics import KEYS, in_windows, window_metrics
+from tillbook.schemas import (
+    METRIC_WINDOW_SECONDS,
+    STORED_EVENT,
+    STORED_METRICS,
+    WINDOW_METRICS,
+)
 from tillbook.sinks.lake import write_partitions
 
 ROWS_PER_FILE = 500_000
@@ -23,22 +28,49 @@ MAX_DAYS = 4000
 MAX_SPANS = 10
 
 
-def append_events(batch: DataFrame, batch_id: int, store: str) -> None:
+def batch_days(batch: DataFrame) -> list[Row]:
+    """``date, rows, first, last`` per day, in epoch seconds; at most ``MAX_DAYS + 1`` days.
+
+    Events without a time have a day of their own, null.
+    """
+    moment = F.col("invoice_date")
+    return (
+        batch.groupBy(F.to_date(moment).cast("string").alias("date"))
+        .agg(
+            F.count(F.lit(1)).alias("rows"),
+            F.unix_seconds(F.min(moment)).alias("first"),
+            F.unix_seconds(F.max(moment)).alias("last"),
+        )
+        .limit(MAX_DAYS + 1)
+        .collect()
+    )
+
+
+def _day_tasks(batch: DataFrame, days: list[Row]) -> int:
+    """How many tasks write the days of a batch, each of which has a file of its own."""
+    return max(1, min(len(days), batch.sparkSession.sparkContext.defaultParallelism))
+
+
+def append_events(
+    batch: DataFrame, batch_id: int, store: str, days: list[Row] | None = None
+) -> None:
     """Write enriched events to ``store``, partitioned by the date of ``invoice_date``.
 
     Range partitioning by time gives each file few dates and a narrow time span, which the
     metric refresh prunes by; the place in the batch cuts even a single busy second.
     """
-    rows = batch.count()
-    if rows == 0:
+    if days is None:
+        days = batch_days(batch)
+    if not days:
         return
-    files = -(-rows // ROWS_PER_FILE)
-    if files == 1:
+    rows = sum(day["rows"] for day in days) if len(days) <= MAX_DAYS else batch.count()
+    tasks = max(-(-rows // ROWS_PER_FILE), _day_tasks(batch, days))
+    if tasks == 1:
         ranged = batch.coalesce(1)
     else:
         ranged = (
             batch.withColumn("_place", F.monotonically_increasing_id())
-            .repartitionByRange(files, "invoice_date", "_place")
+            .repartitionByRange(tasks, "invoice_date", "_place")
             .drop("_place")
         )
     dated = ranged.withColumns(
@@ -52,54 +84,53 @@ def read_events(spark: SparkSession, store: str) -> DataFrame:
     return spark.read.schema(STORED_EVENT).parquet(store)
 
 
-def _read_spans(spark: SparkSession, store: str, spans: list[Row]) -> DataFrame:
-    """Stored events of the given days, if few each between its ``first`` and ``last``."""
-    folders = [f"{store}/date={span['date']}" for span in spans]
-    days = spark.read.schema(STORED_EVENT).option("basePath", store).parquet(*folders)
-    if len(spans) > MAX_SPANS:
-        return days
+def _read_days(spark: SparkSession, store: str, days: list[Row]) -> DataFrame:
+    """Stored events of the given days, if few only of the windows between first and last."""
+    folders = [f"{store}/date={day['date']}" for day in days]
+    events = spark.read.schema(STORED_EVENT).option("basePath", store).parquet(*folders)
+    if len(days) > MAX_SPANS:
+        return events
+
+    def from_window_of(second: int, later: int = 0):
+        start = second // METRIC_WINDOW_SECONDS + later
+        return F.timestamp_seconds(F.lit(start * METRIC_WINDOW_SECONDS))
+
     moment = F.col("invoice_date")
-    within = [
-        (moment >= F.timestamp_seconds(F.lit(span["first"])))
-        & (moment < F.timestamp_seconds(F.lit(span["last"])))
-        for span in spans
+    spans = [
+        (moment >= from_window_of(day["first"])) & (moment < from_window_of(day["last"], 1))
+        for day in days
     ]
-    return days.filter(reduce(lambda a, b: a | b, within))
+    return events.filter(reduce(lambda a, b: a | b, spans))
 
 
-def refresh_metrics(batch: DataFrame, batch_id: int, store: str, metrics: str) -> None:
+def refresh_metrics(
+    batch: DataFrame, batch_id: int, store: str, metrics: str, days: list[Row] | None = None
+) -> None:
     """Recompute, from the stored events, each window that the batch has an event in.
 
     Distinct counts of two batches cannot be added, so a window is always computed whole.
     Only the touched days are listed and only their touched time spans are read.
     """
-    spark = batch.sparkSession
-    windows = in_windows(batch)
-    spans = (
-        windows.select("window_start", window_end())
-        .groupBy(F.to_date("window_start").cast("string").alias("date"))
-        .agg(
-            F.unix_seconds(F.min("window_start")).alias("first"),
-            F.unix_seconds(F.max("window_end")).alias("last"),
-        )
-        .limit(MAX_DAYS + 1)
-        .collect()
-    )
-    if not spans:
+    if days is None:
+        days = batch_days(batch)
+    dated_days = [day for day in days if day["date"] is not None]
+    if not dated_days:
         return
-    if len(spans) > MAX_DAYS:
+    spark = batch.sparkSession
+    if len(days) > MAX_DAYS:
         lines = read_events(spark, store)
     else:
-        lines = _read_spans(spark, store, spans)
+        lines = _read_days(spark, store, dated_days)
     columns = [f.name for f in STORED_EVENT if f.name not in ("date", "batch_id")]
     in_touched = in_windows(lines, *columns).join(
-        windows.distinct(), "window_start", "left_semi"
+        in_windows(batch).distinct(), "window_start", "left_semi"
     )
     dated = window_metrics(in_touched.select(columns)).withColumns(
         {"date": F.to_date("window_start"), "batch_id": F.lit(batch_id).cast("long")}
     )
-    # A day has at most 288 windows, so one task per day is small.
-    write_partitions(dated.repartition("date"), metrics, "date", "batch_id")
+    # A day has at most 288 windows, so however the days fall to tasks, these are small.
+    dated = dated.repartition(_day_tasks(batch, dated_days), "date")
+    write_partitions(dated, metrics, "date", "batch_id")
 
 
 def latest_metrics(stored: DataFrame) -> DataFrame:
