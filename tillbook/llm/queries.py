@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillbook.llm import quality, simhash
+from tillbook.llm import decontaminate, packing, pii, quality, simhash
 from tillbook.llm.text import read
 
 
@@ -17,6 +17,11 @@ def _over(table: str, operator: Callable[[DataFrame], DataFrame]):
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": _over("documents", simhash.op1),
     "op5_quality": _over("documents", quality.op5),
+    "op6_packing": _over("documents", packing.op6),
+    "op7_decontamination": lambda spark, sf_dir: decontaminate.op7(
+        read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")
+    ),
+    "op8_pii": _over("documents", pii.op8),
 }
 
 # The others cannot be said in SQL; their tests compare them with brute force.
