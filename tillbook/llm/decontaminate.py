@@ -124,7 +124,7 @@ def _judged(text: Column, block) -> Column:
     def judged(texts: pd.Series) -> pd.DataFrame:
         empty = (None, None, None, None)
         rows = [block.value.judge(t) or empty for t in texts]
-        return pd.DataFrame(rows, columns=["item_ids", "item_id", "coverage", "n_tiles"])
+        return pd.DataFrame(rows, columns=["item_ids", "item_id", "coverage", "n_tiles"], dtype=object)
 
     return judged(text.cast("binary"))
 

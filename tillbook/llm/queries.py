@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillbook.llm import decontaminate, packing, pii, quality, simhash
+from tillbook.llm import decontaminate, packing, pii, quality, simhash, substrings
 from tillbook.llm.text import read
 
 
@@ -16,6 +16,7 @@ def _over(table: str, operator: Callable[[DataFrame], DataFrame]):
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": _over("documents", simhash.op1),
+    "op2_substrings": _over("documents", substrings.op2),
     "op5_quality": _over("documents", quality.op5),
     "op6_packing": _over("documents", packing.op6),
     "op7_decontamination": lambda spark, sf_dir: decontaminate.op7(
@@ -26,5 +27,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 # The others cannot be said in SQL; their tests compare them with brute force.
 ORACLES: dict[str, str] = {
+    "op2_substrings": substrings.OP2_SQL,
     "op5_quality": quality.OP5_SQL,
 }
