@@ -20,6 +20,7 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -247,18 +248,18 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     # Places run on within a stored file's part and differ in high bits between parts.
     mixed = F.pmod(F.xxhash64(place), F.lit(n_shards)).alias("shard")
 
-    def packed(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values(
-            ["length", "doc_id", "piece", "ids_crc32"], ascending=[False, True, True, True]
+    def packed(shard: pa.Table) -> pa.Table:
+        shard = shard.sort_by(
+            [("length", "descending"), *((c, "ascending") for c in ("doc_id", "piece", "ids_crc32"))]
         )
-        sequences, offsets = best_fit(group["length"].tolist(), capacity)
-        shard = int(group["shard"].iat[0])
-        ids = (shard << _SEQUENCE_BITS) + np.array(sequences, np.int64)
-        return group[columns].assign(sequence_id=2 * ids + 1, offset=offsets)
+        sequences, offsets = best_fit(shard["length"].to_pylist(), capacity)
+        ids = (shard["shard"][0].as_py() << _SEQUENCE_BITS) + np.array(sequences, np.int64)
+        kept = shard.select(columns).append_column("sequence_id", pa.array(2 * ids + 1))
+        return kept.append_column("offset", pa.array(offsets, pa.int64()))
 
     kinds = dict(pieces.dtypes)
     schema = ", ".join(f"{c} {kinds[c]}" for c in columns) + ", sequence_id bigint, offset bigint"
-    shards = short.select(*columns, mixed).groupBy("shard").applyInPandas(packed, schema)
+    shards = short.select(*columns, mixed).groupBy("shard").applyInArrow(packed, schema)
     return whole.unionByName(shards)
 
 

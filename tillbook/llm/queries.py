@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillbook.llm import decontaminate, packing, pii, quality, simhash, substrings
+from tillbook.llm import chat, decontaminate, packing, pii, quality, simhash, substrings
 from tillbook.llm.text import read
 
 
@@ -17,6 +17,7 @@ def _over(table: str, operator: Callable[[DataFrame], DataFrame]):
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": _over("documents", simhash.op1),
     "op2_substrings": _over("documents", substrings.op2),
+    "op4_chat": _over("conversations", chat.op4),
     "op5_quality": _over("documents", quality.op5),
     "op6_packing": _over("documents", packing.op6),
     "op7_decontamination": lambda spark, sf_dir: decontaminate.op7(
