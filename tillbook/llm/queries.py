@@ -6,7 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tillbook.llm import chat, decontaminate, packing, pii, quality, simhash, substrings
+from tillbook.llm import (
+    chat,
+    decontaminate,
+    licenses,
+    packing,
+    pii,
+    quality,
+    simhash,
+    substrings,
+    tokens,
+)
 from tillbook.llm.text import read
 
 
@@ -17,6 +27,7 @@ def _over(table: str, operator: Callable[[DataFrame], DataFrame]):
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": _over("documents", simhash.op1),
     "op2_substrings": _over("documents", substrings.op2),
+    "op3_licenses": _over("documents", licenses.op3),
     "op4_chat": _over("conversations", chat.op4),
     "op5_quality": _over("documents", quality.op5),
     "op6_packing": _over("documents", packing.op6),
@@ -24,10 +35,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")
     ),
     "op8_pii": _over("documents", pii.op8),
+    "op10_tokens": _over("documents", tokens.op10),
 }
 
 # The others cannot be said in SQL; their tests compare them with brute force.
 ORACLES: dict[str, str] = {
     "op2_substrings": substrings.OP2_SQL,
+    "op3_licenses": licenses.OP3_SQL,
     "op5_quality": quality.OP5_SQL,
 }
