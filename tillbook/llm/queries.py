@@ -16,6 +16,7 @@ from tillbook.llm import (
     simhash,
     substrings,
     tokens,
+    urls,
 )
 from tillbook.llm.text import read
 
@@ -35,6 +36,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")
     ),
     "op8_pii": _over("documents", pii.op8),
+    "op9_urls": lambda spark, sf_dir: urls.op9(
+        read(spark, sf_dir, "pages"), read(spark, sf_dir, "labels")
+    ),
     "op10_tokens": _over("documents", tokens.op10),
 }
 
@@ -43,4 +47,5 @@ ORACLES: dict[str, str] = {
     "op2_substrings": substrings.OP2_SQL,
     "op3_licenses": licenses.OP3_SQL,
     "op5_quality": quality.OP5_SQL,
+    "op9_urls": urls.OP9_SQL,
 }
