@@ -1,0 +1,135 @@
+from __future__ import annotations
+
+import random
+
+import pytest
+import xxhash
+from cases import documents, frame
+from pyspark.sql import functions as F
+
+from tillbook.llm import simhash
+from tillbook.llm.components import components
+
+
+def plain_fingerprint(text):
+    words = (text or "").encode().lower().split()
+    if not words:
+        return 0
+    grams = [b" ".join(words[i : i + 3]) for i in range(max(1, len(words) - 2))]
+    hashes = [xxhash.xxh64_intdigest(g, seed=42) for g in grams]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def plain_components(docs, max_bits=2):
+    prints = [plain_fingerprint(t) for _, t in docs]
+    parent = list(range(len(docs)))
+
+    def root(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    for i in range(len(docs)):
+        for j in range(i):
+            if (prints[i] ^ prints[j]).bit_count() <= max_bits:
+                parent[root(i)] = root(j)
+    groups = {}
+    for i, (doc_id, _) in enumerate(docs):
+        groups.setdefault(root(i), []).append(doc_id)
+    least = {
+        r: min((d for d in ids if d is not None), default=None) for r, ids in groups.items()
+    }
+    return prints, [least[root(i)] for i in range(len(docs))], [root(i) for i in range(len(docs))]
+
+
+def ordered(rows):
+    return sorted(rows, key=lambda r: tuple((x is None, x) if x is not None else (True, 0) for x in r))
+
+
+def near_copies():
+    r = random.Random(4)
+    base = [f"w{r.randint(0, 400)}" for _ in range(1500)]
+    docs = []
+    for i in range(80):
+        words = list(base)
+        words[r.randrange(1500)] = f"new{i}"
+        docs.append((10_000 + i, " ".join(words)))
+    return docs
+
+
+def test_against_all_pairs(spark):
+    docs = documents() + near_copies()
+    prints, least, _ = plain_components(docs)
+    want = [(d, f"{p:016x}", c) for (d, _), p, c in zip(docs, prints, least, strict=True)]
+    got = [tuple(r)[:3] for r in simhash.op1(frame(spark, docs)).collect()]
+    assert ordered(got) == ordered(want)
+    assert len({c for d, _, c in got if d and d >= 10_000}) < 40  # some of them are near
+
+
+@pytest.mark.parametrize("max_bits", [0, 1, 2, 3])
+def test_links(spark, max_bits):
+    r = random.Random(max_bits)
+    prints = {r.getrandbits(64)}
+    while len(prints) < 150:
+        prints.add(r.choice(sorted(prints)) ^ (1 << r.randrange(64)) ^ (1 << r.randrange(64)))
+    signed = [p - (1 << 64) if p >> 63 else p for p in prints]
+    links = simhash.near_links(spark.createDataFrame([(p,) for p in signed], "fp bigint"), max_bits)
+    near = {
+        (a, b) for a in signed for b in signed
+        if a < b and ((a ^ b) & (2**64 - 1)).bit_count() <= max_bits
+    }
+    got = {tuple(sorted(l)) for l in links.collect()}
+    assert got <= near
+
+    def groups(pairs):
+        label = {p: p for p in signed}
+        for _ in signed:
+            for a, b in pairs:
+                label[a] = label[b] = min(label[a], label[b])
+        return label
+
+    assert groups(got) == groups(near)
+
+
+def test_keep_one(spark):
+    docs = documents() + near_copies()
+    _, least, roots = plain_components(docs)
+    kept = simhash.keep_one(frame(spark, docs))
+    assert kept.columns == frame(spark, docs).columns
+    rows = kept.collect()
+    assert len(rows) == len(set(roots))
+    assert sorted(r.doc_id for r in rows if r.doc_id is not None) == sorted(
+        c for c in set(least) if c is not None
+    )
+
+
+def test_shingle_hash_is_sparks(spark):
+    text = "ünï the of"
+    signed = spark.range(1).select(F.xxhash64(F.lit(text))).first()[0]
+    assert signed % 2**64 == xxhash.xxh64_intdigest(text.encode(), seed=42)
+
+
+def test_long_text_in_blocks(monkeypatch):
+    text = " ".join(f"w{i % 50}" for i in range(500))
+    whole = simhash.fingerprint(text.encode())
+    monkeypatch.setattr(simhash, "_BLOCK", 7)
+    assert simhash.fingerprint(text.encode()) == whole
+    assert whole % 2**64 == plain_fingerprint(text)
+
+
+def test_empty_table(spark):
+    assert simhash.op1(frame(spark, [])).collect() == []
+    assert simhash.keep_one(frame(spark, [])).collect() == []
+
+
+def test_components(spark):
+    r = random.Random(9)
+    edges = [(i, i + 1) for i in range(40)] + [(100, r.randrange(101, 200)) for _ in range(60)]
+    edges += [(500, 500), (r.randrange(300, 330), r.randrange(300, 330))]
+    label = {n: n for e in edges for n in e}
+    for _ in label:
+        for a, b in edges:
+            label[a] = label[b] = min(label[a], label[b])
+    r.shuffle(edges)
+    found = components(spark.createDataFrame(edges, "a bigint, b bigint"))
+    assert {tuple(x) for x in found.collect()} == {(n, c) for n, c in label.items() if n != c}

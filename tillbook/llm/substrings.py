@@ -24,7 +24,7 @@ repeat a ``doc_id`` count as one document, of which only windows with a later st
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import compress
+from itertools import compress, pairwise
 
 import numpy as np
 import pandas as pd
@@ -94,10 +94,13 @@ def _placed(hashes: np.ndarray, n_buckets: int) -> np.ndarray:
 
 def _by_bucket(placed: np.ndarray) -> Iterator[tuple[int, slice]]:
     """Buckets of sorted placed values, and where they are."""
-    buckets = (placed >> np.uint64(32)).astype(np.int64)
-    starts = np.flatnonzero(np.diff(buckets, prepend=-1))
-    for start, end in zip(starts, [*starts[1:], len(buckets)], strict=True):
-        yield int(buckets[start]), slice(start, end)
+    yield from _equal_runs((placed >> np.uint64(32)).astype(np.int64))
+
+
+def _equal_runs(sorted_buckets: np.ndarray) -> Iterator[tuple[int, slice]]:
+    edges = np.flatnonzero(np.diff(sorted_buckets, prepend=-1, append=-1)).tolist()
+    for start, end in pairwise(edges if len(sorted_buckets) else ()):
+        yield int(sorted_buckets[start]), slice(start, end)
 
 
 class Chunk:
@@ -170,7 +173,7 @@ def _earliest(keys: np.ndarray, ids: np.ndarray, places: np.ndarray):
     return order, new, later
 
 
-def _chunks(docs: DataFrame) -> DataFrame:
+def _chunks(docs: DataFrame, chunk_bytes: int) -> DataFrame:
     rows = docs.select(
         F.coalesce("doc_id", F.lit(0)).cast("long").alias("doc_id"),
         F.col("doc_id").isNull().alias("nameless"),
@@ -199,7 +202,7 @@ def _chunks(docs: DataFrame) -> DataFrame:
 
         for batch in batches:
             for doc_id, nameless, text in batch.itertuples(index=False):
-                if held and size + len(text) > CHUNK_BYTES:
+                if held and size + len(text) > chunk_bytes:
                     yield chunk()
                     number += 1
                     held, size = [], 0
@@ -282,17 +285,16 @@ def _extend(chunks: DataFrame, window: int, n_buckets: int) -> DataFrame:
             buckets = (_placed(routes[order], n_buckets) >> np.uint64(32)).astype(np.int64)
             order = order[np.argsort(buckets, kind="stable")]
             buckets = np.sort(buckets)
-            edges = np.flatnonzero(np.diff(buckets, prepend=-1))
             yield pd.DataFrame(
                 [
                     (
-                        int(buckets[s]),
+                        bucket,
                         chunk.number,
-                        pack_sorted(keys[order[s:e]]),
-                        pack(ids[order[s:e]]),
-                        pack(places[order[s:e]]),
+                        pack_sorted(keys[order[part]]),
+                        pack(ids[order[part]]),
+                        pack(places[order[part]]),
                     )
-                    for s, e in zip(edges, [*edges[1:], len(order)], strict=True)
+                    for bucket, part in _equal_runs(buckets)
                 ],
                 columns=["bucket", "chunk", "keys", "ids", "places"],
             )
@@ -364,15 +366,20 @@ def _documents(chunk: Chunk, removed: np.ndarray) -> Iterator[tuple]:
         )
 
 
-def remove_repeats(docs: DataFrame, window: int = WINDOW_WORDS) -> DataFrame:
+def remove_repeats(
+    docs: DataFrame,
+    window: int = WINDOW_WORDS,
+    chunk_bytes: int = CHUNK_BYTES,
+    bucket_words: int = BUCKET_WORDS,
+) -> DataFrame:
     """``doc_id, n_words, n_removed, kept, removed`` per row of ``docs`` (``doc_id, text``).
 
     Every word inside a window of ``window`` words that also starts earlier is removed; ``kept``
     joins the others by one space, and ``removed`` has the word ranges of maximal repeats.
     """
-    chunks = stage(_chunks(docs), "chunks")
+    chunks = stage(_chunks(docs, chunk_bytes), "chunks")
     n_words = chunks.agg(F.sum("n_words")).first()[0] or 0
-    n_buckets = -(-n_words // BUCKET_WORDS) or 1
+    n_buckets = -(-n_words // bucket_words) or 1
     reply = "chunk bigint, bucket bigint, found binary"
     hits = _probe(chunks, window, n_buckets).groupBy("bucket").applyInPandas(_hit, reply)
     windows = _extend(_answered(chunks, hits), window, n_buckets)
