@@ -1,0 +1,125 @@
+from __future__ import annotations
+
+import random
+
+import pytest
+from cases import documents, frame
+
+from tillbook.llm import decontaminate
+from tillbook.llm.tiling import tile
+
+
+def plain_tiles(a, b, shortest):
+    """Greedy string tiling by trying every pair of places."""
+    in_a, in_b, tiles = set(), set(), []
+    while True:
+        best = None
+        for i in range(len(a)):
+            for j in range(len(b)):
+                n = 0
+                while (
+                    i + n < len(a) and j + n < len(b) and a[i + n] == b[j + n] >= 0
+                    and i + n not in in_a and j + n not in in_b
+                ):
+                    n += 1
+                if n >= shortest and (best is None or n > best[0]):
+                    best = n, i, j
+        if best is None:
+            return tiles
+        n, i, j = best
+        in_a.update(range(i, i + n))
+        in_b.update(range(j, j + n))
+        tiles.append(best)
+
+
+@pytest.mark.parametrize("letters", [2, 4, 9])
+def test_tiles(letters):
+    r = random.Random(letters)
+    for _ in range(150):
+        a = [r.randrange(letters) for _ in range(r.randint(0, 25))]
+        b = [r.randrange(-1, letters) for _ in range(r.randint(0, 40))]
+        shortest = r.randint(1, 4)
+        assert tile(a, b, shortest) == plain_tiles(a, b, shortest)
+
+
+ITEMS = [
+    (1, "The first passage, of ten words. It has two sentences here."),
+    (2, "Another item with words of its own and no sentence shared."),
+    (3, None), (4, ""), (5, "of the"), (None, "an item that has no id but many rare wordings"),
+]
+
+
+def benchmark(spark):
+    return spark.createDataFrame(ITEMS, "item_id bigint, text string").selectExpr("*", "'x' AS b0")
+
+
+def judged(spark, docs, items=None):
+    rows = decontaminate.op7(frame(spark, docs), items or benchmark(spark)).collect()
+    assert len(rows) == len(docs)
+    return {r.doc_id: r for r in rows}
+
+
+def test_found(spark):
+    docs = [
+        (1, "Before it. the FIRST passage of ten words it has two sentences here and after."),
+        (2, "it has two sentences here. In between. The first passage, of ten words."),  # reordered
+        (3, "the first passage is no more than that"),
+        (4, "of the"),
+        (5, ITEMS[1][1] + "\n" + ITEMS[0][1]),
+        (6, None),
+        (7, "w " * 5000 + ITEMS[1][1].replace(" ", "\n")),
+        (8, ITEMS[5][1]),
+    ]
+    rows = judged(spark, docs)
+    assert [i for i in rows if rows[i].contaminated] == [i for i in rows if i in (1, 2, 5, 7, 8)]
+    assert (rows[1].item_id, rows[1].coverage, rows[1].n_tiles) == (1, 1.0, 1)
+    assert (rows[2].item_id, rows[2].coverage, rows[2].n_tiles) == (1, 1.0, 2)
+    assert rows[5].item_ids == "1,2" and rows[8].item_id is None
+    kept = decontaminate.keep_clean(frame(spark, docs), benchmark(spark))
+    assert kept.columns == frame(spark, docs).columns
+    assert sorted(r.doc_id for r in kept.collect()) == [3, 4, 6]
+
+
+def plain_coverage(text, item):
+    a, b = decontaminate.tokens(item.encode()), decontaminate.tokens(text.encode())
+    ids = {t: i for i, t in enumerate({*a, *b})}
+    tiles = plain_tiles([ids[t] for t in a], [ids[t] for t in b], decontaminate.SEED_TOKENS)
+    return sum(t[0] for t in tiles) / len(a), len(tiles)
+
+
+def test_against_tiling_all_pairs(spark):
+    r = random.Random(5)
+    vocabulary = [f"v{i}" for i in range(30)]
+    items = [(i, " ".join(r.choice(vocabulary) for _ in range(r.randint(3, 15)))) for i in range(12)]
+    docs = []
+    for i in range(60):
+        words = [r.choice(vocabulary) for _ in range(r.randint(0, 60))]
+        parts = r.choice(items)[1].split()
+        cut = r.randint(0, len(parts))
+        docs.append((i, " ".join(words[:10] + parts[cut:] + words[10:20] + parts[:cut] + words[20:])))
+    table = spark.createDataFrame(items, "item_id bigint, text string")
+    rows = judged(spark, docs, table)
+    for doc_id, text in docs:
+        scores = {i: plain_coverage(text, item) for i, item in items}
+        found = sorted((-c, i, n) for i, (c, n) in scores.items() if c >= decontaminate.MIN_COVERAGE)
+        row = rows[doc_id]
+        assert row.contaminated == bool(found)
+        assert row.item_ids == ",".join(map(str, sorted(i for _, i, _ in found)))
+        if found:
+            assert (-row.coverage, row.item_id, row.n_tiles) == found[0]
+
+
+def test_blocks_change_nothing(spark, monkeypatch):
+    docs = documents() + [(9000, ITEMS[0][1]), (9001, ITEMS[1][1] + ITEMS[0][1])]
+    key = lambda r: str(tuple(r))
+    one = sorted(decontaminate.op7(frame(spark, docs), benchmark(spark)).collect(), key=key)
+    monkeypatch.setattr(decontaminate, "BLOCK_WORDS", 8)
+    assert len(decontaminate._blocks(benchmark(spark))) > 2
+    assert sorted(decontaminate.op7(frame(spark, docs), benchmark(spark)).collect(), key=key) == one
+    assert {r.doc_id for r in one if r.contaminated} == {9000, 9001}
+
+
+def test_empty_tables(spark):
+    assert judged(spark, []) == {}
+    nothing = benchmark(spark).limit(0)
+    assert not any(r.contaminated for r in judged(spark, [(1, ITEMS[0][1])], nothing).values())

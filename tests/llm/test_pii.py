@@ -1,0 +1,130 @@
+from __future__ import annotations
+
+import hashlib
+import random
+import re
+
+from cases import documents, frame
+from pyspark.sql import functions as F
+
+from tillbook.llm import pii
+
+PLAIN = {
+    "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
+    "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
+    "card": r"[0-9]([\x20-]?[0-9])+",
+    "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
+}
+TOKEN = "04dbebab91ab85687d33eeaaf9ac699e1188f962"
+
+
+def luhn(digits):
+    total = 0
+    for i, c in enumerate(reversed(digits)):
+        n = int(c) * (1 + i % 2)
+        total += n - 9 if n > 9 else n
+    return total % 10 == 0
+
+
+def holds(kind, found):
+    digits = re.sub("[^0-9]", "", found)
+    return {
+        "email": True,
+        "ip": kind == "ip" and all(int(p) <= 255 for p in found.split(".")),
+        "card": 12 <= len(digits) <= 19 and luhn(digits),
+        "phone": 9 <= len(digits) <= 15,
+    }[kind]
+
+
+def base(text):
+    found = [
+        (m.start(), rank, m.end(), kind)
+        for rank, (kind, pattern) in enumerate(PLAIN.items())
+        for m in re.finditer(pattern, text or "")
+        if holds(kind, m.group())
+    ]
+    listed = ",".join(f"{k}:{s}:{e}" for s, _, e, k in sorted(found))
+    return [sum(f[3] == k for f in found) for k in PLAIN], listed
+
+
+def texts(seed=3):
+    r = random.Random(seed)
+    parts = ["a", "Z", "9", "41", "0", "12", "255", "256", "00255", ".", ".", "-", " ", "@", "@", "+", "(", ")",
+             "_", "%", "é", "😀", "\n", "4111111111111111", "4111 1111-1111 1111", "+1 (017) 555-7713", "1.2.3.4",
+             "x@y.zz", f'token = "{TOKEN}"', "Anna Smith", "The Thing"]
+    docs = [(i, "".join(r.choice(parts) for _ in range(r.randint(0, 50)))) for i in range(1500)]
+    docs += [(9000, "a" * 50_000), (9001, "1" * 50_000), (9002, "1 " * 25_000), (9003, "+1" + "(" * 30_000)]
+    docs += [(9004, "x@" * 20_000), (9005, "1." * 20_000), (9006, "x@y.zz " * 2000)]
+    return docs + documents()
+
+
+def test_base_spans(spark):
+    docs = texts()
+    rows = pii.op8(frame(spark, docs)).collect()
+    want = sorted(
+        str((d, *base(t)[0], hashlib.sha256(base(t)[1].encode()).hexdigest())) for d, t in docs
+    )
+    assert sorted(str(tuple(r)[:6]) for r in rows) == want
+    # Ids that no other document has.
+    listed = {r.doc_id: r.spans for r in rows if r.doc_id is not None and 100 <= r.doc_id < 1000}
+    for doc_id, text in docs[100:1000]:
+        spans = listed[doc_id].split(",")
+        assert set(base(text)[1].split(",")) - {""} <= set(spans)
+        places = [int(s.split(":")[1]) for s in spans if s]
+        assert places == sorted(places)
+
+
+def test_secrets_are_learned_and_prose_is_left(spark):
+    docs = [(i, f'some words token = "{TOKEN[i:]}{TOKEN[:i]}" and more') for i in range(30)]
+    docs += [(100 + i, "The Thing is Of Course not a name. Und Dann") for i in range(30)]
+    rows = {r.doc_id: r.spans for r in pii.op8(frame(spark, docs)).collect()}
+    assert all(rows[i] == "secret:20:60" for i in range(30))
+    assert not any(rows[100 + i] for i in range(30))
+
+
+def test_candidates_fill_few_cells(spark):
+    found = pii.candidates(frame(spark, texts())).select(F.explode("candidates").alias("c"))
+    cells = found.select([F.col("c")[x].alias(x) for x in ("kind", *pii.LABELERS, "digits", "small")])
+    assert 0 < cells.distinct().count() <= pii.MAX_CELLS
+
+
+def test_estimate_finds_the_reliable_labelers():
+    r = random.Random(1)
+    patterns, truths = {}, {}
+    for _ in range(20_000):
+        truth = r.random() < 0.4
+        sign = 1 if truth else -1
+        votes = tuple(
+            0 if r.random() < 0.2 else sign * (1 if r.random() < right else -1)
+            for right in (0.95, 0.9, 0.55, 0.85)
+        )
+        patterns[votes] = patterns.get(votes, 0) + 1
+        truths[votes] = truths.get(votes, 0) + truth
+    chance = pii.estimate(patterns)
+    wrong = sum(
+        truths[p] if chance[p] < 0.5 else n - truths[p] for p, n in patterns.items()
+    )
+    assert wrong / 20_000 < 0.06
+    assert chance[(1, 1, -1, 1)] > 0.9 and chance[(-1, -1, 1, -1)] < 0.1
+
+
+def test_redaction(spark):
+    text = "😀 mail x@y.zz or 1.2.3.4, card 4111 1111 1111 1111."
+    docs = [(1, text), (2, "nothing"), (3, None), (4, "")]
+    df = frame(spark, docs).withColumn("n_chars", F.length("text").cast("bigint"))
+    out = pii.redact(df)
+    assert out.dtypes == df.dtypes
+    rows = {r.doc_id: r for r in out.collect()}
+    assert rows[1].text == "😀 mail [EMAIL] or [IP], card [CARD]."
+    assert rows[1].n_chars == len(rows[1].text)
+    assert [rows[i].text for i in (2, 3, 4)] == ["nothing", None, ""]
+
+
+def test_no_python_and_no_text_shuffled(spark):
+    plan = pii.op8(frame(spark, texts()).coalesce(1))._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and "hashpartitioning" not in plan
+
+
+def test_empty_table(spark):
+    assert pii.op8(frame(spark, [])).collect() == []
+    assert pii.redact(frame(spark, [])).collect() == []
