@@ -79,11 +79,9 @@ def test_copies_are_cut(spark, monkeypatch):
 
 
 def test_known_row_count_sizes_the_sort(spark, monkeypatch):
-    monkeypatch.setattr(keys, "ROWS_PER_PARTITION", 100)
-    monkeypatch.setattr(keys, "MAX_PARTITIONS", 9)
     df = spark.range(3000).select((-F.col("id")).alias("a"))
-    keyed, sizes = partition_sizes(monkeypatch, df, ["a"], "key", rows=3000)
+    keyed, sizes = partition_sizes(monkeypatch, df, ["a"], "key", rows=3000, rows_per_partition=334)
     assert len(sizes) == 9
     assert keyed.filter("key <> a + 3000").count() == 0
-    _, sizes = partition_sizes(monkeypatch, df, ["a"], "key", rows=300)
+    _, sizes = partition_sizes(monkeypatch, df, ["a"], "key", rows=300, rows_per_partition=100)
     assert len(sizes) <= 4

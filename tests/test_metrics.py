@@ -7,6 +7,8 @@ from decimal import ROUND_HALF_UP, Decimal
 
 from rows import event, events
 
+import pytest
+
 from tillbook.operators.events import enrich_events
 from tillbook.operators.metrics import top_country, top_product, upsert, window_metrics
 
@@ -96,6 +98,32 @@ def test_price_that_is_no_number_has_no_amount(spark):
     assert (row["order_count"], row["total_revenue_gbp"], row["avg_order_value"]) == (2, 20, 20)
 
 
+def test_small_amounts_are_not_cut(spark):
+    row = window_metrics(lines_of(spark, [event(quantity=1, price=0.00004)] * 1000)).first()
+    assert row["total_revenue_gbp"] == Decimal("0.04")
+
+
+@pytest.mark.parametrize("price", [1e15, 1e28, 1e300, float("inf")])
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_huge_amounts(spark, price, ansi):
+    rows = [event(quantity=1, price=price), event(invoice="2", quantity=1, price=1.0)]
+    rows.append(event(when="2024-01-01T00:07:00", quantity=2, price=3.0))
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        first, second = window_metrics(lines_of(spark, rows)).orderBy("window_start").collect()
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", "true")
+    assert first["order_count"] == 2
+    assert first["total_revenue_gbp"] == (10**15 + 1 if price == 1e15 else None)
+    assert second["total_revenue_gbp"] == 6
+
+
+def test_a_total_beyond_the_decimals_is_null(spark):
+    rows = [event(invoice=str(i), quantity=1, price=9e27) for i in range(30)]
+    row = window_metrics(lines_of(spark, rows)).first()
+    assert (row["order_count"], row["total_revenue_gbp"], row["avg_order_value"]) == (30, None, None)
+
+
 def test_ties_go_to_the_first_name(spark):
     rows = [
         event(invoice="1", code="B", quantity=2, country="USA"),
@@ -124,3 +152,9 @@ def test_upsert(spark):
         for row in upsert(old, new).collect()
     }
     assert revenue == {0: 10, 5: 2, 10: 3}
+
+
+def test_upsert_reads_each_side_once(spark):
+    old, new = (window_metrics(lines_of(spark, [event()])) for _ in range(2))
+    plan = upsert(old, new)._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and plan.count("Union") == 1

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import pytest
 from compare import connect, duckdb_rows, duckdb_types, spark_rows, spark_types
+from pyspark.sql import functions as F
 
 import __spark_entry__ as spark_entry
 from tillbook.plans.catalog import QUERIES, _cleaned, _enriched
+from tillbook.plans.oracles import ORACLES
 from tillbook.sources import fixtures
 
 MIDDLE = "/root/testdata/sf0.01"
@@ -26,7 +28,19 @@ def test_query_equals_sql(spark, sf_dir, con, name):
 
 
 def test_every_query_has_sql():
-    assert set(spark_entry.queries()) == set(spark_entry.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(spark_entry.queries())
+
+
+def test_an_unknown_nation_keeps_its_lines(spark, sf_dir, tmp_path):
+    for name in ("orders", "lineitem", "part"):
+        spark.read.parquet(f"{sf_dir}/{name}.parquet").write.parquet(f"{tmp_path}/{name}.parquet")
+    nation = F.when(F.col("c_custkey") % 3 == 0, 99).otherwise(F.col("c_nationkey"))
+    customers = spark.read.parquet(f"{sf_dir}/customer.parquet")
+    customers.withColumn("c_nationkey", nation).write.parquet(f"{tmp_path}/customer.parquet")
+    lines = fixtures.raw_orders(spark, str(tmp_path))
+    assert lines.count() == fixtures.raw_orders(spark, sf_dir).count()
+    assert lines.filter("Country IS NULL").count() > 0
 
 
 def test_entry(spark):

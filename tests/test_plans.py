@@ -72,7 +72,11 @@ def test_dimensions_read_only_their_columns(stored, plans_staged):
 def test_fact_is_one_range_shuffle(spark, stored, plans_staged, tmp_path):
     clean.clean_orders(*stored).write.parquet(str(tmp_path / "cleaned"))
     orders = read_table(spark, str(tmp_path / "cleaned"))
-    tables = [dims.dim_customer(orders), dims.dim_product(orders), dims.dim_country(orders)]
+    tables = []
+    for build in (dims.dim_customer, dims.dim_product, dims.dim_country):
+        path = str(tmp_path / build.__name__)
+        build(orders).write.parquet(path)
+        tables.append(read_table(spark, path))
     plans_staged.clear()
     fact.build_fact_orders(orders, *tables, stored=True)
     (plan,) = plans_staged
@@ -114,4 +118,5 @@ def test_a_cluster_without_shared_folder_is_an_error():
 
 
 def test_local_mode_may_do_without():
-    assert shared_folder(Session(spark__master="local[4]"))
+    session = Session(spark__master="local[4]", spark__sql__warehouse__dir="/w/house")
+    assert shared_folder(session) == "/w/house/_staged"

@@ -7,7 +7,12 @@ from pyspark.sql import functions as F
 from rows import cleaned_line, cleaned_orders
 
 from tillbook.operators.dims import dim_country, dim_customer, dim_date, dim_product
-from tillbook.operators.fact import FACT_COLUMNS, build_fact_orders, lookup_keys
+from tillbook.operators.fact import (
+    FACT_COLUMNS,
+    build_fact_orders,
+    lookup_keys,
+    measured_bytes,
+)
 from tillbook.plans.batch import build_star, run_batch
 from tillbook.plans.catalog import _cleaned
 from tillbook.sources import fixtures
@@ -165,6 +170,27 @@ def test_hot_customer_is_split_in_a_shuffle_join(spark, monkeypatch):
     assert "SortMergeJoin(skew=true)" in plan
 
 
+def test_key_tables_share_one_broadcast_budget(spark):
+    orders = cleaned_orders(spark, cleaned_line())
+    tables = (dim_customer(orders), dim_product(orders), dim_country(orders))
+    sizes = measured_bytes(
+        list(zip(tables, ("customer_id", "stock_code", "country_name"), strict=True))
+    )
+    for limit, wanted in ((sum(sizes), True), (sum(sizes) - 1, False), (max(sizes), False)):
+        _, all_broadcast = lookup_keys(orders, *tables, broadcast_limit=limit)
+        assert all_broadcast is wanted
+
+
+def test_average_price_does_not_depend_on_order(spark):
+    lines = [cleaned_line(price=p) for p in (0.1, 0.2, 0.3, 1e9, 0.005, 2.675)] * 20
+    found = set()
+    for parts in (1, 3, 7):
+        orders = cleaned_orders(spark, *lines).repartition(parts)
+        found.add(tuple(dim_product(orders).first()))
+        lines.reverse()
+    assert len(found) == 1
+
+
 def test_line_without_known_country_is_left_out(spark):
     orders = cleaned_orders(spark, cleaned_line(country=None), cleaned_line(invoice="2"))
     fact = build_fact_orders(

@@ -105,11 +105,8 @@ def test_batch_without_times_has_no_metrics(spark, folders):
     assert store.read_events(spark, folders["store"]).count() == 1
 
 
-@pytest.mark.parametrize(("max_spans", "max_days"), [(10, 400), (1, 400), (1, 2)])
-def test_every_way_of_reading_the_store(spark, folders, monkeypatch, max_spans, max_days):
-    monkeypatch.setattr(store, "MAX_SPANS", max_spans)
-    monkeypatch.setattr(store, "MAX_DAYS", max_days)
-    days = [dt.datetime(2024, 1, day, hour) for day in range(1, 5) for hour in (0, 12)]
+def test_batches_of_many_days(spark, folders):
+    days = [dt.datetime(2024, 1, day, hour) for day in range(1, 15) for hour in (0, 12)]
     batches = [
         enrich_events(
             events(spark, *(event(invoice=f"{b}-{d}", when=d.isoformat()) for d in days[b:])),
@@ -140,6 +137,49 @@ def test_untouched_windows_are_not_written_again(spark, folders):
     assert written.filter("batch_id = 1").count() == 1
 
 
+def test_a_new_checkpoint_is_refused_for_a_used_store(spark, folders):
+    write_file(folders["messages"], 1, messages_of(spark, event()))
+    run(spark, folders)
+    run(spark, folders)
+    stored = store.read_events(spark, folders["store"]).collect()
+    other = folders | {"checkpoint": folders["checkpoint"] + "2"}
+    with pytest.raises(ValueError, match="is new"):
+        run(spark, other)
+    assert store.read_events(spark, folders["store"]).collect() == stored
+
+
+def test_an_amount_without_a_decimal_does_not_stop_the_stream(spark, folders):
+    rows = [event(), event(invoice="2", price=1e300), event(when="2024-01-01T09:00:00")]
+    for number, row in enumerate(rows):
+        write_file(folders["messages"], number, messages_of(spark, row))
+    run(spark, folders)
+    assert store.read_events(spark, folders["store"]).count() == 3
+    first, second = store.read_metrics(spark, folders["metrics"]).orderBy("window_start").collect()
+    assert (first["order_count"], first["total_revenue_gbp"]) == (2, None)
+    assert second["total_revenue_gbp"] is not None
+
+
+def test_stored_events_are_not_shuffled_before_the_touched_windows(spark, folders, monkeypatch):
+    """Whatever the size of the batch, the small side of the join is broadcast."""
+    plans = []
+
+    def capture(df, *_):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+
+    batch = enrich_events(events(spark, event()), EVENT_RATE)
+    large = batch.crossJoin(spark.range(2_000_000)).drop("id").persist()
+    large.count()
+    try:
+        store.append_events(batch, 0, folders["store"])
+        monkeypatch.setattr(store, "write_partitions", capture)
+        store.refresh_metrics(large, 1, folders["store"], folders["metrics"])
+    finally:
+        large.unpersist()
+    (plan,) = plans
+    assert "BroadcastHashJoin" in plan and "LeftSemi" in plan
+    assert "SortMergeJoin" not in plan and "ShuffledHashJoin" not in plan
+
+
 def test_errors_stop_the_stream_and_nothing_is_skipped(spark, folders, monkeypatch):
     write_file(folders["messages"], 1, messages_of(spark, event()))
 

@@ -76,6 +76,8 @@ def stream(spark: SparkSession, args: argparse.Namespace) -> None:
         f"{args.lake}/checkpoints/order_stream",
         rate,
         available_now=args.available_now,
+        fractional=args.fractional,
+        interval=args.trigger,
     ).awaitTermination()
 
 
@@ -110,6 +112,10 @@ def parse(argv: Sequence[str] | None = None) -> argparse.Namespace:
     streaming = command(stream, "store events and keep window metrics")
     streaming.add_argument("--rate", type=float, help="default: the last landed rate")
     streaming.add_argument("--available-now", action="store_true", help="stop when done")
+    streaming.add_argument("--trigger", help='time between batches, such as "1 minute"')
+    streaming.add_argument(
+        "--fractional", action="store_true", help="read event times with fractions of seconds"
+    )
     messages(streaming)
 
     args = parser.parse_args(argv)

@@ -10,6 +10,9 @@ from tillbook.functions.orders import currency, region
 from tillbook.operators.keys import assign_dense_key
 from tillbook.schemas import PRODUCT_CATEGORY, RFM_SEGMENT
 
+# What unit prices are summed as; a price that does not fit is an error.
+PRICE = "decimal(28,10)"
+
 
 def dim_customer(orders: DataFrame) -> DataFrame:
     """One row per customer; cancelled invoices count too."""
@@ -33,13 +36,18 @@ def dim_customer(orders: DataFrame) -> DataFrame:
 
 def dim_product(orders: DataFrame) -> DataFrame:
     """One row per stock code."""
-    # As above: descriptions are groups while there are many lines.
-    described = orders.groupBy("stock_code", "description").agg(
-        F.sum("unit_price_gbp").alias("price_sum"), F.count("unit_price_gbp").alias("priced")
+    # As above: descriptions are groups while there are many lines. Prices are summed as
+    # decimals, so that the average does not depend on the order of the lines.
+    priced = orders.select(
+        "stock_code", "description", F.col("unit_price_gbp").cast(PRICE).alias("price")
+    )
+    described = priced.groupBy("stock_code", "description").agg(
+        F.sum("price").alias("price_sum"), F.count("price").alias("priced")
     )
+    mean = F.try_divide(F.sum("price_sum"), F.sum("priced"))
     products = described.groupBy("stock_code").agg(
         F.max("description").alias("description"),
-        F.round(F.try_divide(F.sum("price_sum"), F.sum("priced")), 2).alias("avg_price_gbp"),
+        F.round(mean, 2).cast("double").alias("avg_price_gbp"),
     )
     keyed = assign_dense_key(products, ["stock_code"], "product_key")
     return keyed.withColumn("category", F.lit(PRODUCT_CATEGORY))

@@ -16,6 +16,7 @@ BROADCAST_BYTES = 256 * 1024 * 1024
 # Rough cost of a hashed row beside its text key.
 _ROW_BYTES = 64
 
+# The warehouse table's columns, in its order.
 FACT_COLUMNS = (
     "order_key",
     "invoice_no",
@@ -76,8 +77,9 @@ def lookup_keys(
 ) -> tuple[DataFrame, bool]:
     """Inner-join the three surrogate keys; also tell whether no join needed a shuffle.
 
-    A key table over ``broadcast_limit`` goes through a shuffle join, where adaptive
-    execution splits the partition of a hot key.
+    The key tables are broadcast from the smallest on while all of them together stay within
+    ``broadcast_limit``. The others go through a shuffle join, where adaptive execution
+    splits the partition of a hot key.
     """
     lookups = (
         (dim_country, "country_name", "country_key", "country"),
@@ -85,12 +87,15 @@ def lookup_keys(
         (dim_customer, "customer_id", "customer_key", "customer_id"),
     )
     sizes = measured_bytes([(dim, business_key) for dim, business_key, _, _ in lookups])
-    for (dim, business_key, surrogate, column), size in zip(lookups, sizes, strict=True):
+    total = 0
+    for size, place in sorted(zip(sizes, range(len(lookups)), strict=True)):
+        dim, business_key, surrogate, column = lookups[place]
         keys = dim.select(F.col(business_key).alias(column), surrogate)
-        if size <= broadcast_limit:
+        total += size
+        if total <= broadcast_limit:
             keys = F.broadcast(keys)
         orders = orders.join(keys, column, "inner")
-    return orders, max(sizes) <= broadcast_limit
+    return orders, total <= broadcast_limit
 
 
 def build_fact_orders(

@@ -9,9 +9,8 @@ from pyspark.sql import functions as F
 
 from tillbook.staging import stage
 
-# Rows that one task sorts without much spilling, and how many tasks a shuffle bears.
+# Rows that one task sorts without much spilling.
 ROWS_PER_PARTITION = 5_000_000
-MAX_PARTITIONS = 20_000
 
 _COPY = "_copy"
 _SLOT = "_slot"
@@ -20,10 +19,10 @@ _SLOT = "_slot"
 _PARTITION_BIT = 33
 
 
-def _sort_partitions(df: DataFrame, rows: int | None) -> list[int]:
+def _sort_partitions(df: DataFrame, rows: int | None, rows_per_partition: int) -> list[int]:
     """A partition count where ``rows`` asks for more than the session's default, else none."""
     default = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    wanted = min(-(-(rows or 0) // ROWS_PER_PARTITION), MAX_PARTITIONS)
+    wanted = -(-(rows or 0) // rows_per_partition)
     return [wanted] if wanted > default else []
 
 
@@ -34,6 +33,7 @@ def assign_dense_key(
     key_type: str = "int",
     spread_copies: bool = False,
     rows: int | None = None,
+    rows_per_partition: int = ROWS_PER_PARTITION,
 ) -> DataFrame:
     """Add ``name``: 1..n in the order of ``order_by``, nulls first.
 
@@ -45,8 +45,8 @@ def assign_dense_key(
     input. Retried tasks must then see their rows in the same order, so ``df`` has to be a
     scan of stored files followed by nothing but filters, projections and broadcast joins.
 
-    ``rows``, where known, sizes the sort of a large table; otherwise
-    ``spark.sql.shuffle.partitions`` does.
+    ``rows``, where known, sizes the sort of a large table: a task for every
+    ``rows_per_partition``, and never fewer than ``spark.sql.shuffle.partitions``.
     """
     columns = df.columns
     order = [F.col(c).asc_nulls_first() for c in order_by]
@@ -55,17 +55,13 @@ def assign_dense_key(
         df = df.withColumn(_COPY, F.monotonically_increasing_id())
         split.append(F.col(_COPY).asc())
     placed = stage(
-        df.repartitionByRange(*_sort_partitions(df, rows), *split)
+        df.repartitionByRange(*_sort_partitions(df, rows, rows_per_partition), *split)
         .sortWithinPartitions(*order)
         .select(*columns, F.monotonically_increasing_id().alias(_SLOT)),
         name,
     )
 
     place = F.col(_SLOT).bitwiseAND(F.lit((1 << _PARTITION_BIT) - 1))
-    if len(placed.inputFiles()) == 1:
-        # One task wrote all rows, so a row's place is its rank.
-        return placed.select(*columns, (place + 1).cast(key_type).alias(name))
-
     partition = F.shiftright(_SLOT, _PARTITION_BIT)
     earlier = Window.orderBy("_partition").rowsBetween(Window.unboundedPreceding, -1)
     # One row per task of the staging write.

@@ -2,20 +2,23 @@
 
 Input lines carry ``invoice_no, stock_code, country, quantity, invoice_date, unit_price,
 unit_price_usd``; lines without a time belong to no window.
+
+A line's amount is its quantity times its unit price, to ten decimal places. Amounts are summed
+as decimals, so a total is the same in whatever order lines arrive. An amount without a value (a
+missing quantity or price, or a price that is no number) counts for nothing. If an amount of a
+window, or their total, is 1e28 or more, the window keeps its counts and leaders, and its totals
+in that currency are null.
 """
 
 from __future__ import annotations
 
-from decimal import Decimal
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillbook.schemas import METRIC_WINDOW
 
-# Amounts are summed as whole ten-thousandths: exact, the same in whatever order rows arrive,
-# and faster than decimals. A window may hold 9e14 in all; more is an overflow error in ANSI mode.
-_PARTS = 10_000
+AMOUNT = "decimal(38,10)"
+_CURRENCIES = {"gbp": "unit_price", "usd": "unit_price_usd"}
 KEYS = ["window_start", "window_end"]
 
 
@@ -30,13 +33,35 @@ def window_end() -> Column:
     return (F.col("window_start") + F.expr(f"INTERVAL {METRIC_WINDOW}")).alias("window_end")
 
 
-def _parts(unit_price: str) -> Column:
-    amount = F.nanvl(F.col("quantity") * F.col(unit_price), F.lit(None))
-    return F.rint(amount * _PARTS).cast("bigint")
+def _amounts() -> list[Column]:
+    """Each currency's amount, and whether it is too large to have a decimal."""
+    columns = []
+    for name, unit_price in _CURRENCIES.items():
+        amount = F.nanvl(F.col("quantity") * F.col(unit_price), F.lit(None))
+        held = amount.try_cast(AMOUNT)
+        columns += [
+            held.alias(name),
+            (amount.isNotNull() & held.isNull()).alias(f"{name}_lost"),
+        ]
+    return columns
 
 
-def _amounts() -> tuple[Column, Column]:
-    return _parts("unit_price").alias("gbp"), _parts("unit_price_usd").alias("usd")
+def _sums(counted: Column | None = None) -> list[Column]:
+    """Aggregates: sums of amounts or of such sums, and whether anything was too large.
+
+    ``counted`` tells which rows to take, if not all.
+    """
+    columns = []
+    for name in _CURRENCIES:
+        value, lost = F.col(name), F.col(f"{name}_lost")
+        if counted is not None:
+            value, lost = F.when(counted, value), counted & lost
+        total = F.try_sum(value)
+        columns += [
+            total.alias(name),
+            (F.bool_or(lost) | (total.isNull() & (F.count(value) > 0))).alias(f"{name}_lost"),
+        ]
+    return columns
 
 
 def _leader(total: Column, name: Column) -> Column:
@@ -47,15 +72,15 @@ def _leader(total: Column, name: Column) -> Column:
 
 def _totals() -> list[Column]:
     """Summed amounts as money."""
-    one_part = F.lit(1 / Decimal(_PARTS))
-    gbp, usd = (F.col(name).cast("decimal(19,0)") * one_part for name in ("gbp", "usd"))
+    gbp, usd = (F.when(~F.col(f"{name}_lost"), F.col(name)) for name in _CURRENCIES)
     totals = {
         "total_revenue_gbp": gbp,
         "total_revenue_usd": usd,
         "avg_order_value": F.try_divide(gbp, F.col("priced")),
     }
     return [
-        F.round(total, 2).cast("decimal(38,2)").alias(name) for name, total in totals.items()
+        F.round(total, 2).try_cast("decimal(38,2)").alias(name)
+        for name, total in totals.items()
     ]
 
 
@@ -77,8 +102,7 @@ def window_metrics(lines: DataFrame) -> DataFrame:
         .agg(
             F.grouping_id().alias("piece"),
             F.sum("quantity").alias("units"),
-            F.sum("gbp").alias("gbp"),
-            F.sum("usd").alias("usd"),
+            *_sums(),
             F.count("gbp").alias("priced"),
         )
     )
@@ -89,16 +113,14 @@ def window_metrics(lines: DataFrame) -> DataFrame:
     rolled = pieces.groupBy(start, "piece", code, country).agg(
         F.count(invoice).alias("invoices"),
         F.sum("units").alias("units"),
-        F.sum("gbp").alias("gbp"),
-        F.sum("usd").alias("usd"),
+        *_sums(),
         F.sum("priced").alias("priced"),
     )
     return (
         rolled.groupBy(start)
         .agg(
             F.sum(F.when(by_invoice, F.col("invoices"))).alias("order_count"),
-            F.sum(F.when(by_code, F.col("gbp"))).alias("gbp"),
-            F.sum(F.when(by_code, F.col("usd"))).alias("usd"),
+            *_sums(by_code),
             F.sum(F.when(by_code, F.col("priced"))).alias("priced"),
             _leader(F.col("units"), F.when(by_code, F.col(code))).alias("top_product_code"),
             _leader(F.col("invoices"), F.when(by_country, F.col(country))).alias("top_country"),
@@ -135,8 +157,13 @@ def top_country(lines: DataFrame) -> DataFrame:
 
 
 def upsert(current: DataFrame, updates: DataFrame) -> DataFrame:
-    """``current`` with the windows of ``updates`` replaced or added."""
-    return current.join(updates.select(KEYS), KEYS, "left_anti").unionByName(updates)
+    """``current`` with the windows of ``updates`` replaced or added; one row per window."""
+    values = [name for name in current.columns if name not in KEYS]
+    tagged = current.withColumn("_update", F.lit(False)).unionByName(
+        updates.withColumn("_update", F.lit(True))
+    )
+    latest = F.max_by(F.struct(*values), "_update").alias("latest")
+    return tagged.groupBy(KEYS).agg(latest).select(*KEYS, "latest.*")
 
 
 def streaming_window_metrics(events: DataFrame, delay: str = "10 minutes") -> DataFrame:
@@ -145,23 +172,17 @@ def streaming_window_metrics(events: DataFrame, delay: str = "10 minutes") -> Da
     A window appears once the watermark has passed it, and events later than ``delay`` are
     left out. ``run_order_stream`` keeps exact metrics of late events too.
     """
-    gbp, usd = _amounts()
     per_invoice = (
         events.withWatermark("invoice_date", delay)
-        .select("invoice_date", "invoice_no", gbp, usd)
+        .select("invoice_date", "invoice_no", *_amounts())
         .groupBy(F.window("invoice_date", METRIC_WINDOW).alias("span"), "invoice_no")
-        .agg(
-            F.sum("gbp").alias("gbp"),
-            F.sum("usd").alias("usd"),
-            F.count("gbp").alias("priced"),
-        )
+        .agg(*_sums(), F.count("gbp").alias("priced"))
     )
     per_window = per_invoice.groupBy(
         F.window(F.window_time("span"), METRIC_WINDOW).alias("span")
     ).agg(
         F.count("invoice_no").alias("order_count"),
-        F.sum("gbp").alias("gbp"),
-        F.sum("usd").alias("usd"),
+        *_sums(),
         F.sum("priced").alias("priced"),
     )
     return per_window.select(

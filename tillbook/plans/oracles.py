@@ -26,12 +26,11 @@ _RAW = f"""raw AS (
          CAST(o_orderdate AS TIMESTAMP) AS "InvoiceDate",
          CAST(p_size * 4 + 0.25 AS DOUBLE) AS "Price",
          CASE WHEN o_custkey % 4 <> 0 THEN CAST(o_custkey AS DOUBLE) END AS "Customer ID",
-         {_COUNTRY_LIST}[c_nationkey + 1] AS "Country"
+         {_COUNTRY_LIST}[CASE WHEN c_nationkey >= 0 THEN c_nationkey + 1 END] AS "Country"
   FROM lineitem
   JOIN orders ON l_orderkey = o_orderkey
   JOIN part ON l_partkey = p_partkey
   JOIN customer ON o_custkey = c_custkey
-  WHERE c_nationkey BETWEEN 0 AND 24
 )"""
 
 _RATES = """rates AS (

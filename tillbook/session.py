@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
-from functools import lru_cache
 
 from pyspark.sql import SparkSession
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
+    # Values that don't fit a warehouse column are errors, not nulls.
+    "spark.sql.ansi.enabled": "true",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     # Splits the partitions a hot customer or product makes in a shuffle join.
@@ -31,21 +31,17 @@ def build_session(
     return builder.getOrCreate()
 
 
-@lru_cache(maxsize=1)
-def _local_folder() -> str:
-    return tempfile.mkdtemp(prefix="tillbook-")
-
-
 def shared_folder(spark: SparkSession) -> str:
     """The folder named by ``spark.checkpoint.dir``, which every executor must reach.
 
-    Only a local-mode session, whose executors are its own threads, may do without it.
+    Only a local-mode session, whose executors are its own threads, may do without it; its
+    tables then go to a folder of its warehouse.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
     if spark.conf.get("spark.master", "").startswith("local"):
-        return _local_folder()
+        return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_staged"
     raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
 
 

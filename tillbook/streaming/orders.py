@@ -8,7 +8,12 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tillbook.operators.events import enrich_events, parse_events
 from tillbook.schemas import STREAM_FALLBACK_RATE
-from tillbook.streaming.store import append_events, batch_days, refresh_metrics
+from tillbook.streaming.store import (
+    append_events,
+    assert_same_run,
+    batch_days,
+    refresh_metrics,
+)
 
 
 def store_batch(batch: DataFrame, batch_id: int, store: str, metrics: str) -> None:
@@ -30,15 +35,21 @@ def run_order_stream(
     rate: float = STREAM_FALLBACK_RATE,
     available_now: bool = False,
     fractional: bool = False,
+    interval: str | None = None,
 ) -> StreamingQuery:
     """Start the stream: parse and enrich messages, store them, keep window metrics exact.
 
-    ``available_now`` works off what has arrived and stops; otherwise it runs until stopped.
+    ``available_now`` works off what has arrived and stops; otherwise it runs until stopped,
+    with a batch every ``interval`` (such as "1 minute"), or as soon as the last one is done.
+    Each batch writes files of its own, so a longer interval makes fewer and larger ones.
     """
+    assert_same_run(messages.sparkSession, store, metrics, checkpoint)
     enriched = enrich_events(parse_events(messages), rate, fractional)
     writer = enriched.writeStream.foreachBatch(
         lambda batch, batch_id: store_batch(batch, batch_id, store, metrics)
     ).option("checkpointLocation", checkpoint)
     if available_now:
         writer = writer.trigger(availableNow=True)
+    elif interval:
+        writer = writer.trigger(processingTime=interval)
     return writer.start()

@@ -2,7 +2,8 @@
 
 A batch writes only to its own ``date=/batch_id=`` folders, replacing what an earlier attempt
 of the same batch left there, so a retry changes nothing. Store, metrics and checkpoint
-belong together: batch numbers start again with a new checkpoint.
+belong together: batch numbers start again with a new checkpoint, which ``assert_same_run``
+therefore refuses for a store that has batches.
 """
 
 from __future__ import annotations
@@ -22,16 +23,31 @@ from tillbook.schemas import (
 from tillbook.sinks.lake import write_partitions
 
 ROWS_PER_FILE = 500_000
-# With more days in a batch than this, the whole store is read instead of its days.
-MAX_DAYS = 4000
-# With more days than this, their folders are read without a time filter on each.
-MAX_SPANS = 10
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
+def assert_same_run(spark: SparkSession, store: str, metrics: str, checkpoint: str) -> None:
+    """Refuse a new checkpoint for folders that another one's batches are in.
+
+    Its batch numbers would start at 0 again and replace what is stored under them.
+    """
+    for folder in (store, metrics):
+        if _exists(spark, folder) and not _exists(spark, f"{checkpoint}/offsets"):
+            raise ValueError(
+                f"{folder} has batches, but {checkpoint} is new: "
+                "go on with their checkpoint, or give new folders"
+            )
 
 
 def batch_days(batch: DataFrame) -> list[Row]:
-    """``date, rows, first, last`` per day, in epoch seconds; at most ``MAX_DAYS + 1`` days.
+    """``date, rows, first, last`` per day, in epoch seconds.
 
-    Events without a time have a day of their own, null.
+    One row for each calendar day in the batch; events without a time have a day of their
+    own, null.
     """
     moment = F.col("invoice_date")
     return (
@@ -41,7 +57,6 @@ def batch_days(batch: DataFrame) -> list[Row]:
             F.unix_seconds(F.min(moment)).alias("first"),
             F.unix_seconds(F.max(moment)).alias("last"),
         )
-        .limit(MAX_DAYS + 1)
         .collect()
     )
 
@@ -63,16 +78,13 @@ def append_events(
         days = batch_days(batch)
     if not days:
         return
-    rows = sum(day["rows"] for day in days) if len(days) <= MAX_DAYS else batch.count()
+    rows = sum(day["rows"] for day in days)
     tasks = max(-(-rows // ROWS_PER_FILE), _day_tasks(batch, days))
-    if tasks == 1:
-        ranged = batch.coalesce(1)
-    else:
-        ranged = (
-            batch.withColumn("_place", F.monotonically_increasing_id())
-            .repartitionByRange(tasks, "invoice_date", "_place")
-            .drop("_place")
-        )
+    ranged = (
+        batch.withColumn("_place", F.monotonically_increasing_id())
+        .repartitionByRange(tasks, "invoice_date", "_place")
+        .drop("_place")
+    )
     dated = ranged.withColumns(
         {"date": F.to_date("invoice_date"), "batch_id": F.lit(batch_id).cast("long")}
     )
@@ -85,22 +97,18 @@ def read_events(spark: SparkSession, store: str) -> DataFrame:
 
 
 def _read_days(spark: SparkSession, store: str, days: list[Row]) -> DataFrame:
-    """Stored events of the given days, if few only of the windows between first and last."""
+    """Stored events of the given days, from the first window of the batch to its last."""
     folders = [f"{store}/date={day['date']}" for day in days]
     events = spark.read.schema(STORED_EVENT).option("basePath", store).parquet(*folders)
-    if len(days) > MAX_SPANS:
-        return events
 
-    def from_window_of(second: int, later: int = 0):
+    def window_of(second: int, later: int = 0):
         start = second // METRIC_WINDOW_SECONDS + later
         return F.timestamp_seconds(F.lit(start * METRIC_WINDOW_SECONDS))
 
+    # Files hold narrow time spans, so these two bounds skip most of a day that grows.
     moment = F.col("invoice_date")
-    spans = [
-        (moment >= from_window_of(day["first"])) & (moment < from_window_of(day["last"], 1))
-        for day in days
-    ]
-    return events.filter(reduce(lambda a, b: a | b, spans))
+    first, last = min(day["first"] for day in days), max(day["last"] for day in days)
+    return events.filter((moment >= window_of(first)) & (moment < window_of(last, 1)))
 
 
 def refresh_metrics(
@@ -116,15 +124,11 @@ def refresh_metrics(
     dated_days = [day for day in days if day["date"] is not None]
     if not dated_days:
         return
-    spark = batch.sparkSession
-    if len(days) > MAX_DAYS:
-        lines = read_events(spark, store)
-    else:
-        lines = _read_days(spark, store, dated_days)
+    lines = _read_days(batch.sparkSession, store, dated_days)
     columns = [f.name for f in STORED_EVENT if f.name not in ("date", "batch_id")]
-    in_touched = in_windows(lines, *columns).join(
-        in_windows(batch).distinct(), "window_start", "left_semi"
-    )
+    # At most 288 windows a day of the batch: small whatever the number of events.
+    touched = F.broadcast(in_windows(batch).distinct())
+    in_touched = in_windows(lines, *columns).join(touched, "window_start", "left_semi")
     dated = window_metrics(in_touched.select(columns)).withColumns(
         {"date": F.to_date("window_start"), "batch_id": F.lit(batch_id).cast("long")}
     )
