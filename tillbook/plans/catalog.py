@@ -35,6 +35,26 @@ RAW_COLUMNS = (
 # The rate correction of ``upsert_metrics`` starts at this moment.
 RERATED_FROM = "2024-01-16 00:00:00"
 RERATED = 1.5
+# What ``batch_run`` sums of each table, in SQL.
+STAR_SUMS = {
+    "dim_customer": {
+        "key_sum": "customer_key * total_orders",
+        "value_sum": "year(last_purchase_date) * month(first_purchase_date)",
+    },
+    "dim_country": {
+        "key_sum": "country_key * length(country_name)",
+        "value_sum": "length(region) * length(currency_code)",
+    },
+    "dim_product": {
+        "key_sum": "product_key * length(stock_code)",
+        "value_sum": "CAST(avg_price_gbp AS DECIMAL(18,2))",
+    },
+    "dim_date": {"key_sum": "date_key", "value_sum": "day_of_week * length(day_name)"},
+    "fact_orders": {
+        "key_sum": "order_key * (customer_key + product_key + country_key)",
+        "value_sum": "CAST(total_amount_usd AS DECIMAL(18,2))",
+    },
+}
 _MESSAGES_PER_FILE = 1_000_000
 _STREAM_BATCHES = 4
 
@@ -86,7 +106,7 @@ def fact_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def batch_run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Row counts of the star tables after a whole batch run."""
+    """Row counts and sums over keys and values of the star tables after a whole batch run."""
     star = run_batch(
         spark,
         fixtures.raw_orders(spark, sf_dir),
@@ -94,7 +114,11 @@ def batch_run(spark: SparkSession, sf_dir: str) -> DataFrame:
         new_folder(spark, "lake"),
     )
     counts = [
-        table.agg(F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("row_count"))
+        table.agg(
+            F.lit(name).alias("table_name"),
+            F.count(F.lit(1)).alias("row_count"),
+            *(F.expr(f"CAST(sum({x}) AS DOUBLE)").alias(c) for c, x in STAR_SUMS[name].items()),
+        )
         for name, table in star.items()
     ]
     return reduce(DataFrame.unionByName, counts)
@@ -151,6 +175,25 @@ def stream_window_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _plain_metrics(store.read_metrics(spark, stored))
 
 
+def closed_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The windows that a watermarked stream has closed after all order events."""
+    folder = new_folder(spark, "watermarked")
+    source = fixtures.order_messages(fixtures.order_events(spark, sf_dir))
+    write_events_to_folder(source, f"{folder}/messages")
+    messages = read_folder(spark, f"{folder}/messages")
+    enriched = events.enrich_events(events.parse_events(messages), fixtures.EVENT_RATE)
+    query = (
+        metrics.streaming_window_metrics(enriched)
+        .writeStream.format("parquet")
+        .outputMode("append")
+        .option("checkpointLocation", f"{folder}/checkpoint")
+        .trigger(availableNow=True)
+        .start(f"{folder}/metrics")
+    )
+    query.awaitTermination()
+    return _plain_metrics(spark.read.parquet(f"{folder}/metrics"))
+
+
 def _raw(operator: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda spark, sf_dir: operator(fixtures.raw_orders(spark, sf_dir))
 
@@ -212,4 +255,5 @@ QUERIES: dict[str, Query] = {
     "upsert_metrics": upsert_metrics,
     "stream_append_events": stream_append_events,
     "stream_window_metrics": stream_window_metrics,
+    "stream_closed_windows": closed_windows,
 }

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tillbook.plans.catalog import RERATED, RERATED_FROM
+from tillbook.plans.catalog import RERATED, RERATED_FROM, STAR_SUMS
 from tillbook.schemas import EUROPE
 from tillbook.sources.fixtures import COUNTRIES, EVENT_RATE
 
@@ -230,7 +230,9 @@ _NULL_COUNTS = "\nUNION ALL ".join(
 _STAR = (("customers", "dim_customer"), ("countries", "dim_country"))
 _STAR += (("products", "dim_product"), ("dates", "dim_date"), ("fact", "fact_orders"))
 _STAR_COUNTS = "\nUNION ALL ".join(
-    f"SELECT '{table}' AS table_name, count(*) AS row_count FROM {step}"
+    f"SELECT '{table}' AS table_name, count(*) AS row_count, "
+    + ", ".join(f"CAST(sum({x}) AS DOUBLE) AS {c}" for c, x in STAR_SUMS[table].items())
+    + f" FROM {step}"
     for step, table in _STAR
 )
 
@@ -330,4 +332,9 @@ SELECT * FROM corrected WHERE window_start >= TIMESTAMP '{RERATED_FROM}'""",
     ),
     "stream_append_events": _event_sql(select=_APPENDED),
     "stream_window_metrics": _event_sql(_metrics(), select="SELECT * FROM metrics"),
+    "stream_closed_windows": _event_sql(
+        _metrics(),
+        select="SELECT * EXCLUDE (top_product_code, top_country) FROM metrics WHERE window_end "
+        "<= (SELECT max(invoice_date) FROM enriched) - INTERVAL 10 MINUTE",
+    ),
 }
