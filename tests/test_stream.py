@@ -128,6 +128,19 @@ def test_a_busy_second_is_cut_into_files(spark, folders, monkeypatch):
     assert store.read_events(spark, folders["store"]).count() == 4000
 
 
+def test_changed_windows(spark, folders):
+    for batch_id, hour in enumerate((0, 5, 0)):
+        when = f"2024-01-01T0{hour}:00:00"
+        batch = enrich_events(events(spark, event(invoice=str(batch_id), when=when)), EVENT_RATE)
+        store_batch(batch, batch_id, folders["store"], folders["metrics"])
+    stored = spark.read.parquet(folders["metrics"])
+    found = {
+        since: {r.window_start.hour: r.order_count for r in store.changed_metrics(stored, since).collect()}
+        for since in (-1, 0, 1, 2)
+    }
+    assert found == {-1: {0: 2, 5: 1}, 0: {0: 2, 5: 1}, 1: {0: 2}, 2: {}}
+
+
 def test_untouched_windows_are_not_written_again(spark, folders):
     first, second = "2024-01-01T00:00:00", "2024-01-01T12:00:00"
     for batch_id, when in enumerate([first, second]):

@@ -147,6 +147,12 @@ def latest_metrics(stored: DataFrame) -> DataFrame:
     )
 
 
+def changed_metrics(stored: DataFrame, since: int) -> DataFrame:
+    """The current metrics of the windows that a batch after ``since`` has touched."""
+    newer = stored.filter(F.col("batch_id") > since)
+    return latest_metrics(newer)
+
+
 def read_metrics(spark: SparkSession, metrics: str) -> DataFrame:
     """The current metrics of every window."""
     return latest_metrics(spark.read.schema(STORED_METRICS).parquet(metrics))
