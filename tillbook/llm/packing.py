@@ -63,6 +63,7 @@ class WordTokens(dict):
     def __init__(self, tokenizer_json: str):
         super().__init__()
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
+        self.tokenize = self.tokenizer.model.tokenize
         self.pattern = regex.compile(_PATTERN)
         self.letters = _byte_letters()
         self.plain = '"Lowercase"' in tokenizer_json and "'s|'t|'re|'ve|'m|'ll|'d|" in tokenizer_json
@@ -76,29 +77,33 @@ class WordTokens(dict):
     def _ids(self, word: str) -> bytes:
         if not word:
             return b""
-        if (
-            not self.plain
-            or "<|" in word
-            or max(word) >= _FIRST_OTHER
-            or not word.isprintable()
-            or not unicodedata.is_normalized("NFC", word)
-        ):
-            encoded = self.tokenizer.encode(word, add_special_tokens=False)
-            return array("I", encoded.ids).tobytes()
+        if not self.plain or not (word.isascii() or self._composed(word)):
+            return self._whole(word)
+        if word.isalpha():
+            small = word.lower()
+            return self._part(word) if small == word else self[small]
+        if "<|" in word or not word.isprintable():
+            return self._whole(word)
         small = word.lower()
         if small != word:
             return self[small]
-        if word.isalpha():
-            letters = self.letters
-            shown = word if word.isascii() else "".join(letters[b] for b in word.encode())
-            return array("I", [t.id for t in self.tokenizer.model.tokenize(shown)]).tobytes()
         if word[:-1].isalpha():
             return self[word[:-1]] + self[word[-1]]
         parts = self.pattern.findall(word)
-        if len(parts) > 1:
-            return b"".join(map(self.__getitem__, parts))
-        shown = "".join(self.letters[b] for b in word.encode())
-        return array("I", [t.id for t in self.tokenizer.model.tokenize(shown)]).tobytes()
+        return b"".join(map(self.__getitem__, parts)) if len(parts) > 1 else self._part(word)
+
+    @staticmethod
+    def _composed(word: str) -> bool:
+        return max(word) < _FIRST_OTHER and unicodedata.is_normalized("NFC", word)
+
+    def _whole(self, word: str) -> bytes:
+        return array("I", self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
+
+    def _part(self, part: str) -> bytes:
+        """One pre-token, in small letters."""
+        if not part.isascii():
+            part = part.encode().decode("latin-1").translate(self.letters)
+        return array("I", [token.id for token in self.tokenize(part)]).tobytes()
 
     def of(self, text: str) -> bytes:
         if len(self) > KNOWN_WORDS:
