@@ -8,7 +8,6 @@ therefore refuses for a store that has batches.
 
 from __future__ import annotations
 
-from functools import reduce
 
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
