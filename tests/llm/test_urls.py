@@ -97,6 +97,23 @@ def test_index_finds_every_rule(spark):
     assert items and found == {r.url for r in own if any(i <= set(r.t) for i in items)}
 
 
+def test_labels_by_the_number_that_ends_the_path(spark):
+    ends = ["", "/", "//", ".html", ".html/", "?page=2&ref=x", "/?page=2", "#part2", ".html?a=/7", "?q#/9"]
+    pages = [(i, f"https://a.com/en/{i}{end}", "h") for i, end in enumerate(ends)]
+    others = ["https://a.com/en/x1", "https://a.com/en/1/x", "https://a.com/2024-01-05", "https://a.com?x=/1", None]
+    pages += [(100 + i, url, "h") for i, url in enumerate(others)]
+    labels = [(i, i % 2, 0) for i in range(len(ends))]
+    got = {(r.url, r.bad) for r in urls.label_pages(*tables(spark, pages, labels)).collect()}
+    assert got == {(pages[i][1], i % 2 == 0) for i in range(len(ends))}
+
+
+def test_rules_of_urls_with_numbers_in_the_query(spark):
+    pages = [(i, f"https://a{i % 3}.com/en/{i}{['/', '?page=2&ref=x'][i % 2]}", "h") for i in range(60)]
+    page_frame, label_frame = tables(spark, pages, [(i, 1 - i % 2, 0) for i in range(60)])
+    got = {r.page_id: r.verdict for r in urls.op9(page_frame, label_frame).collect()}
+    assert got == {i: ["allow", "block"][i % 2] for i in range(60)}
+
+
 def test_without_labels_or_pages(spark):
     pages, _ = planted()
     page_frame, none = tables(spark, pages, [])

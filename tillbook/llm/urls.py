@@ -180,12 +180,12 @@ def judge(pages: DataFrame, labelled: DataFrame, rules: Sequence[Rule] = RULES)
 def label_pages(pages: DataFrame, labels: DataFrame) -> DataFrame:
     """``url, bad`` of pages whose document is labelled: bad is low quality, or toxic.
 
-    A page names its document by the number that ends its path; several labels of one document
-    are one, bad if any is.
+    A page names its document by the number that ends its path, whatever query or fragment
+    follows; an extension and slashes may come after it. Several labels of one document are one,
+    bad if any is.
     """
-    named = pages.select(
-        "url", F.expr(r"try_cast(regexp_extract(url, '/([0-9]+)[^/0-9]*$', 1) AS bigint)").alias("d")
-    )
+    number = F.regexp_extract(path(F.col("url")), "/([0-9]+)[^/0-9]*/*$", 1)
+    named = pages.select("url", number.try_cast("bigint").alias("d"))
     known = labels.groupBy("doc_id").agg(
         F.max((F.col("quality") == 0) | (F.coalesce("toxic", F.lit(0)) == 1)).alias("bad")
     )
