@@ -1,7 +1,10 @@
 from __future__ import annotations
 
+import itertools
+import math
 import random
 import re
+from collections import Counter
 
 import duckdb
 from compare import duckdb_rows, spark_rows
@@ -114,6 +117,60 @@ def test_rules_of_urls_with_numbers_in_the_query(spark):
     assert got == {i: ["allow", "block"][i % 2] for i in range(60)}
 
 
+def least_rules(labelled):
+    """Token sets without a smaller rule, by brute force over ``[(tokens, bad)]``."""
+    need = math.ceil(max(urls.MIN_SUPPORT, urls.MIN_PAGES / len(labelled)) * len(labelled))
+    counts = Counter()
+    for own, bad in labelled:
+        for size in range(1, len(own) + 1):
+            for items in itertools.combinations(sorted(own), size):
+                counts[items, bad] += 1
+    rules = {
+        frozenset(i) for i, bad in counts
+        if bad and counts[i, True] >= need and counts[i, True] / (counts[i, True] + counts[i, False]) >= urls.MIN_CONFIDENCE
+    }
+    return {i for i in rules if not any(other < i for other in rules)}
+
+
+def test_rules_by_brute_force(spark):
+    r = random.Random(5)
+    labelled = []
+    for _ in range(400):
+        keys = [f"k{j:02}" for j in range(9) if r.random() < 0.4]
+        keys += [f"z{j}" for j in range(r.randint(0, 3))]
+        bad = r.random() < (0.9 if {"k01", "k04"} <= set(keys) or {"k02", "k03", "k07"} <= set(keys) else 0.3)
+        labelled.append((f"http://h/?{'&'.join(keys)}", bad))
+    frame = spark.createDataFrame(labelled, "url string, bad boolean").repartition(3)
+    own = [({"host:h", *(f"query:{k}" for k in u.split("?")[1].split("&") if k)}, bad) for u, bad in labelled]
+    got = [frozenset(x["items"]) for x in urls.mine_rules(frame).collect()]
+    want = least_rules(own)
+    assert max(map(len, want)) > 2 and len(got) == len(set(got)) and set(got) == want
+
+
+def test_all_tokens_of_a_page_are_mined(spark):
+    # Twelve path segments before the one that tells; and a word among the first ten tokens of bad
+    # pages that stands behind them on the many good ones.
+    deep = "/".join(f"a{chr(97 + j)}" for j in range(12))
+    pages = [(i, f"https://h.com/{deep}/{['ok', 'zz'][i % 2]}/{i}", "h") for i in range(40)]
+    late = "&".join(f"a{j:02}" for j in range(12))
+    pages += [(100 + i, f"https://g.com/{100 + i}?k", "h") for i in range(20)]
+    pages += [(200 + i, f"https://g.com/{200 + i}?{late}&k", "h") for i in range(80)]
+    labels = [(i, 1 - (i % 2 if i < 40 else i < 200), 0) for i, _, _ in pages]
+    page_frame, label_frame = tables(spark, pages, labels)
+    rules = urls.mine_rules(urls.label_pages(page_frame, label_frame))
+    assert {frozenset(r["items"]) for r in rules.collect()} == {frozenset({"path:zz"})}
+    got = {r.page_id: r.verdict for r in urls.op9(page_frame, label_frame).collect()}
+    assert got == {i: "block" if i < 40 and i % 2 else "allow" for i, _, _ in pages}
+
+
+def test_long_frequent_urls_end_at_pairs(spark):
+    def url(i):
+        return f"https://h.com/{i}?" + "&".join(f"q{j:03}" for j in range(10 + i % 50))
+
+    frame = spark.createDataFrame([(url(i), i % 3 == 0) for i in range(600)], "url string, bad boolean")
+    assert urls.mine_rules(frame).collect() == []
+
+
 def test_without_labels_or_pages(spark):
     pages, _ = planted()
     page_frame, none = tables(spark, pages, [])

@@ -1,23 +1,26 @@
 """URL filters: fixed host and path rules, and association rules mined from labelled pages.
 
-Spark's FP-growth mines combinations of URL tokens that come with a bad label. Rules of enough
+Combinations of URL tokens that come with a bad label are mined size by size. Rules of enough
 support and confidence match by an inverted index: each is listed under its rarest token, joined
 to the distinct URLs that have that token, and holds if the URL has all its tokens. Everything is
-built-in expressions and Spark's own FP-growth; a URL that very many pages share is judged once.
-
-Mining takes every labelled page, but of each URL the first ``MINED_TOKENS`` tokens in order of
-the alphabet: a longer frequent URL would have 2 to the number of its tokens frequent combinations.
-Matching uses all tokens. Small or missing label tables give no rules, and pages without a fixed
+built-in expressions; a URL that very many pages share is judged once.
+
+Mining takes every labelled page and all its tokens. FP-growth would list 2 to the number of its
+tokens combinations of a long frequent URL. So pages with the same tokens are counted together, and
+a combination only grows while it has the bad pages that a rule needs, is no rule itself (with more
+tokens it matches nothing more), and is on fewer pages than each of its parts (else a part does the
+same in any rule). None of this loses a match; tokens that come together, or along one path, end
+at pairs. Tokens that are frequent in many independent combinations still make that many. Small or missing label tables give no rules, and pages without a fixed
 rule are then allowed. Null URLs, and those without ``://``, have an empty host and path, no fixed
 rule and no tokens. Repeated pages are judged like others.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from typing import NamedTuple
 
-from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -27,8 +30,8 @@ BLOCK, ALLOW = "block", "allow"
 MIN_SUPPORT = 0.002
 MIN_PAGES = 10
 MIN_CONFIDENCE = 0.6
+# Of OP9_SQL only, which mines no further tokens of a page.
 MINED_TOKENS = 10
-_BAD = "label:bad"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -110,45 +113,117 @@ def tokens(url: Column) -> Column:
 
 
 def mine_rules(labelled: DataFrame) -> DataFrame:
-    """``items, anchor`` of rules whose URLs are bad. ``labelled`` has ``url, bad``.
+    """``items, anchor`` of the least rules whose URLs are bad. ``labelled`` has ``url, bad``.
 
-    ``anchor`` is the rarest item of a rule among labelled pages.
+    A rule that holds all items of another one is left out; it matches nothing more. ``anchor`` is
+    the rarest item of a rule among labelled pages.
     """
     baskets = stage(
-        labelled.filter("bad IS NOT NULL").select(
-            F.concat(
-                F.slice(tokens(F.col("url")), 1, MINED_TOKENS),
-                F.when(F.col("bad"), F.array(F.lit(_BAD))).otherwise(
-                    F.array().cast("array<string>")
-                ),
-            ).alias("items")
-        ),
+        labelled.filter("bad IS NOT NULL")
+        .select(tokens(F.col("url")).alias("items"), F.col("bad").cast("long").alias("bad"))
+        .groupBy("items")
+        .agg(F.count(F.lit(1)).alias("n"), F.sum("bad").alias("bad")),
         "baskets",
     )
-    n = baskets.count()
+    n = baskets.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     if n < MIN_PAGES:
         return baskets.filter("false").select("items", F.lit("").alias("anchor"))
-    support = max(MIN_SUPPORT, MIN_PAGES / n)
-    # Itemsets with the label are at least as frequent as the rules they make.
-    model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=MIN_CONFIDENCE).fit(baskets)
-    rules = (
-        model.associationRules.filter(F.col("consequent") == F.array(F.lit(_BAD)))
-        .select(F.array_sort("antecedent").alias("items"))
-        .filter(F.size("items") > 0)
-    )
-    single = model.freqItemsets.filter(F.size("items") == 1).select(
-        F.col("items")[0].alias("item"), "freq"
+    # The bad pages that a rule needs, and so each of its items.
+    least = math.ceil(max(MIN_SUPPORT, MIN_PAGES / n) * n)
+    is_rule = F.col("bad") / F.col("n") >= MIN_CONFIDENCE
+    single = stage(
+        baskets.select(F.explode("items").alias("item"), "n", "bad")
+        .groupBy("item")
+        .agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
+        .filter(F.col("bad") >= least),
+        "items",
     )
+    rules = single.filter(is_rule).select(F.array("item").alias("items"))
+    open_items = single.filter(~is_rule & (F.col("n") < n))
+    grown = open_items.select(F.array("item").alias("items"), "n")
+    fronts = _open_baskets(baskets, open_items)
+    size = 1
+    # A larger combination needs all its parts; so many parts are there at least.
+    while grown.limit(size + 1).count() > size:
+        size += 1
+        fronts = stage(_extended(fronts), "combinations")
+        counted = stage(
+            fronts.groupBy("items")
+            .agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
+            .filter(F.col("bad") >= least),
+            "counts",
+        )
+        sound = stage(_sound(counted, grown, size), "sound")
+        rules = rules.union(sound.filter(is_rule).select("items"))
+        grown = sound.filter(~is_rule).select("items", "n")
+        fronts = fronts.join(grown.select("items"), "items", "left_semi")
     ranked = (
         rules.select("items", F.explode("items").alias("item"))
-        .join(single, "item")
+        .join(single.select("item", "n"), "item")
         .groupBy("items")
-        .agg(F.min(F.struct("freq", "item")).alias("rarest"))
+        .agg(F.min(F.struct("n", "item")).alias("rarest"))
         .select("items", F.col("rarest.item").alias("anchor"))
     )
     return stage(ranked, "rules")
 
 
+def _open_baskets(baskets: DataFrame, items: DataFrame) -> DataFrame:
+    """Baskets of ``items`` only, as ``items`` (none yet), ``rest`` in order, ``n, bad``."""
+    kept = (
+        baskets.withColumn("basket", F.xxhash64("items"))
+        .select("basket", "items", "n", "bad", F.explode("items").alias("item"))
+        .join(items.select("item"), "item")
+        .groupBy("basket", "items")
+        .agg(
+            F.array_sort(F.collect_list("item")).alias("rest"),
+            F.first("n").alias("n"),
+            F.first("bad").alias("bad"),
+        )
+    )
+    merged = kept.groupBy("rest").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
+    pairs = merged.filter(F.size("rest") > 1)
+    first = pairs.select("rest", "n", "bad", F.array().cast("array<string>").alias("items"))
+    return _extended(first)
+
+
+def _extended(fronts: DataFrame) -> DataFrame:
+    """Each combination with each later item of its basket."""
+    each = fronts.select("items", "rest", "n", "bad", F.posexplode("rest").alias("i", "item"))
+    return each.select(
+        F.concat("items", F.array("item")).alias("items"),
+        F.expr("slice(rest, i + 2, size(rest))").alias("rest"),
+        "n",
+        "bad",
+    )
+
+
+def _sound(counted: DataFrame, grown: DataFrame, size: int) -> DataFrame:
+    """Combinations whose parts, one item shorter, are all in ``grown`` and on more pages.
+
+    On the same pages, a part does in any rule what the combination does.
+    """
+    parts = counted.select(
+        F.col("items").alias("whole"),
+        F.col("n").alias("n_whole"),
+        "bad",
+        F.explode(
+            F.transform("items", lambda x: F.filter("items", lambda y: y != x))
+        ).alias("items"),
+    )
+    return (
+        parts.join(grown, "items")
+        .groupBy(F.col("whole").alias("items"))
+        .agg(
+            F.first("n_whole").alias("n"),
+            F.first("bad").alias("bad"),
+            F.count(F.lit(1)).alias("parts"),
+            F.min(F.col("n") - F.col("n_whole")).alias("more"),
+        )
+        .filter((F.col("parts") == size) & (F.col("more") > 0))
+        .select("items", "n", "bad")
+    )
+
+
 def matched(urls: DataFrame, rules: DataFrame) -> DataFrame:
     """The distinct ``url`` of ``urls`` that some rule holds for."""
     own = urls.select("url").distinct().select("url", tokens(F.col("url")).alias("tokens"))
@@ -209,7 +284,9 @@ def _sql_case(column: str) -> str:
     return f"CASE {whens} END"
 
 
-# FP-growth by brute force: every combination of a labelled page's tokens, by bits of a number.
+# Mining by brute force: every combination of a labelled page's tokens, by bits of a number.
+# Of a page's tokens it mines the first MINED_TOKENS, and it looks for the document's number in the
+# whole url; ``op9`` has neither limit, and equals it where pages don't meet them.
 OP9_SQL = f"""
 WITH placed AS (
   SELECT page_id, url,
