@@ -120,6 +120,19 @@ def test_redaction(spark):
     assert [rows[i].text for i in (2, 3, 4)] == ["nothing", None, ""]
 
 
+def test_added_spans_that_overlap_base_spans_stay_whole(spark):
+    # A card's digits inside a secret and inside an IBAN.
+    secret, iban = "abcdef" + "4111111111111111" + TOKEN[2:20], "GB29NWBK4111111111111111"
+    docs = [(i, f"some words token = {TOKEN[i:]}{TOKEN[:i]} and more") for i in range(30)]
+    docs += [(30 + i, f"my IBAN: GB29NWBK6016133192{i:04} and more") for i in range(30)]
+    docs += [(100, f"token = {secret} end"), (101, f"my IBAN: {iban} end")]
+    rows = {r.doc_id: r for r in pii.op8(frame(spark, docs)).collect()}
+    assert rows[100].n_card == rows[101].n_card == 1
+    assert rows[100].spans == "secret:8:48,card:14:30" and rows[101].spans == "iban:9:33,card:17:33"
+    texts = {r.doc_id: r.text for r in pii.redact(frame(spark, docs)).collect()}
+    assert texts[100] == "token = [SECRET] end" and texts[101] == "my IBAN: [IBAN] end"
+
+
 def test_no_python_and_no_text_shuffled(spark):
     plan = pii.op8(frame(spark, texts()).coalesce(1))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "hashpartitioning" not in plan

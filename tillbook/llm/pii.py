@@ -330,7 +330,7 @@ def _named(spans: Column, kind: str) -> Column:
 def find(docs: DataFrame, text: str = "text") -> DataFrame:
     """``row, text``, a count for each base kind, and the sorted spans ``base`` and ``spans``.
 
-    Added spans that overlap a base span are left out.
+    Spans may overlap: a secret is listed whole beside a card inside it.
     """
     rows = candidates(docs, text)
     model = train(rows)
@@ -360,14 +360,8 @@ def find(docs: DataFrame, text: str = "text") -> DataFrame:
         ),
     )
     added = merged.select("row", "text", *counts, "base", apart.alias("added"))
-    free = F.filter(
-        "added",
-        lambda c: ~F.exists(
-            F.col("base"), lambda b: (b["start"] < c["end"]) & (c["start"] < b["end"])
-        ),
-    )
     return added.select(
-        "row", "text", *counts, "base", F.sort_array(F.concat("base", free)).alias("spans")
+        "row", "text", *counts, "base", F.sort_array(F.concat("base", "added")).alias("spans")
     )
 
 
@@ -380,7 +374,7 @@ def _listed(spans: Column) -> Column:
 def redact(docs: DataFrame, text: str = "text", length: str = "n_chars") -> DataFrame:
     """The input's columns with each span of ``text`` replaced by its kind in brackets.
 
-    Spans that overlap are replaced once, under the first one's kind. ``length``, where the input
+    Spans that overlap are replaced together, all they cover once, under the first one's kind. ``length``, where the input
     has it, is set to the new text's length; null texts stay null.
     """
     found = find(docs, text)
