@@ -1,0 +1,137 @@
+from __future__ import annotations
+
+import random
+import zlib
+
+import pytest
+from cases import documents, frame
+
+from tillbook.llm import toxicity
+
+BAD = ["grobnik", "lurch", "wretchling", "fulsome"]
+
+
+def labelled(n=900, seed=1):
+    """Texts of plain words; a fifth have a few bad words and are labelled so."""
+    r = random.Random(seed)
+    plain = ["".join(r.choice("aeioulnrst") for _ in range(r.randint(2, 7))) for _ in range(300)]
+    docs, labels = [], []
+    for i in range(n):
+        words = [r.choice(plain) for _ in range(r.randint(10, 120))]
+        bad = i % 5 == 0
+        if bad:
+            for _ in range(r.randint(2, 5)):
+                word = r.choice(BAD)
+                word = r.choice([word, word.upper(), word + "!", word + r.choice("aeo") + "x"])
+                words.insert(r.randrange(len(words)), word)
+        docs.append((i, " ".join(words)))
+        labels.append((i, 1, int(bad)))
+    return docs, labels
+
+
+def label_frame(spark, labels):
+    return spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int")
+
+
+def auc(rows):
+    ranked = sorted(rows)
+    ones = [i for i, (_, label) in enumerate(ranked) if label]
+    zeros = len(ranked) - len(ones)
+    return (sum(ones) - len(ones) * (len(ones) - 1) / 2) / (len(ones) * zeros)
+
+
+def test_held_out_accuracy(spark):
+    docs, labels = labelled()
+    result = toxicity.op13(frame(spark, docs), label_frame(spark, labels)).collect()
+    truth = {d: t for d, _, t in labels}
+    assert sorted(r["doc_id"] for r in result) == sorted(truth)
+    for r in result:
+        assert r["held_out"] == (zlib.crc32(str(r["doc_id"]).encode()) % 5 == 0)
+        assert 0 <= r["score"] <= 1
+        assert r["predicted"] == int(r["score"] >= 0.5)
+    held = [r for r in result if r["held_out"]]
+    assert len(held) > 100
+    assert auc([(r["score"], truth[r["doc_id"]]) for r in held]) > 0.97
+    assert sum(r["predicted"] == truth[r["doc_id"]] for r in held) / len(held) > 0.95
+
+
+def test_held_out_labels_change_nothing(spark):
+    docs, labels = labelled(400)
+    held = {d for d, _, _ in labels if zlib.crc32(str(d).encode()) % 5 == 0}
+    flipped = [(d, q, 1 - t if d in held else t) for d, q, t in labels]
+    scores = [
+        sorted(map(tuple, toxicity.op13(frame(spark, docs), label_frame(spark, rows)).collect()))
+        for rows in (labels, flipped)
+    ]
+    assert scores[0] == scores[1]
+
+
+def test_other_columns_are_no_input(spark):
+    docs, labels = labelled(400)
+    moved = [(d + 10_000, t) for d, t in docs]
+    scorer = toxicity.train(frame(spark, docs), label_frame(spark, labels))
+    first = {r["doc_id"]: r["score"] for r in scorer.score(frame(spark, docs)).collect()}
+    second = {r["doc_id"]: r["score"] for r in scorer.score(frame(spark, moved)).collect()}
+    assert {d + 10_000: s for d, s in first.items()} == second
+
+
+@pytest.mark.parametrize(
+    "labels", [[], [(1, 1, None)], [(i, 1, 0) for i in range(50)], [(1, 1, 1), (2, 1, 0)]]
+)
+def test_too_few_labels_give_their_share(spark, labels):
+    docs = documents()
+    result = toxicity.op13(frame(spark, docs), label_frame(spark, labels)).collect()
+    assert len(result) == len(docs)
+    assert len({r["score"] for r in result}) == 1
+    assert all(0 <= r["score"] <= 1 for r in result)
+
+
+def test_awkward_texts_are_scored(spark):
+    docs, labels = labelled(400)
+    docs += [(d and d + 20_000, t) for d, t in documents()]
+    labels += [(20_003, 1, 1), (20_003, 1, 0), (None, 1, 1)]
+    result = toxicity.op13(frame(spark, docs), label_frame(spark, labels)).collect()
+    assert len(result) == len(docs)
+    assert all(r["score"] is not None and 0 <= r["score"] <= 1 for r in result)
+    assert sum(r["doc_id"] is None and not r["held_out"] for r in result) == 3
+
+
+def test_empty_table(spark):
+    assert toxicity.op13(frame(spark, []), label_frame(spark, [(1, 1, 1)])).collect() == []
+
+
+def test_training_rows_are_bounded_and_distinct(spark):
+    docs, labels = labelled(300)
+    copies = docs + [(d + 1000, docs[0][1]) for d in range(200)]
+    marks = labels + [(d + 1000, 1, 1) for d in range(200)]
+    rows = toxicity.training_rows(frame(spark, copies), label_frame(spark, marks), 150).collect()
+    assert 0 < len(rows) <= 150
+    assert len({r["text"] for r in rows}) == len(rows)
+    assert all(zlib.crc32(str(r["doc_id"]).encode()) % 5 for r in rows)
+
+
+def values(text, weights=None):
+    lexicon = toxicity.Lexicon(weights or {"idiot": 5.0, "clow-": 2.0})
+    return dict(zip(toxicity.FEATURES, toxicity.features(text, lexicon), strict=True))
+
+
+def test_features():
+    none = values("")
+    assert set(none.values()) == {0.0}
+    assert values(None) == none
+    found = values("You IDIOT, clowns and a quiet day!!")
+    assert found["strong_words"] == 1 / 7 and found["weak_beginnings"] == 1 / 7
+    assert found["near_second_person"] == 1 / 7 == found["second_person"]
+    assert found["capital_words"] == 1 / 7
+    assert found["repeated_signs"] > 0 and found["disguised"] == 0
+    hidden = values("an 1d1ot and an i.d.i.o.t")
+    assert hidden["disguised"] == 2 / 5 == hidden["strong_words"] == hidden["mixed_words"]
+    assert values("sooo good")["stretched"] == 1 / 2
+
+
+def test_parts_change_nothing(monkeypatch):
+    text = "you idiot and some other words, clowns too! " * 40
+    whole = values(text)
+    monkeypatch.setattr(toxicity, "PART_CHARS", 13)
+    monkeypatch.setattr(toxicity, "KNOWN_WORDS", 2)
+    assert values(text) == whole

@@ -11,11 +11,14 @@ from tillbook.llm import (
     decontaminate,
     licenses,
     packing,
+    periodic,
     pii,
     quality,
     simhash,
+    spelling,
     substrings,
     tokens,
+    toxicity,
     urls,
 )
 from tillbook.llm.text import read
@@ -40,6 +43,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         read(spark, sf_dir, "pages"), read(spark, sf_dir, "labels")
     ),
     "op10_tokens": _over("documents", tokens.op10),
+    "op11_spelling": _over("documents", spelling.op11),
+    "op12_periodic": _over("documents", periodic.op12),
+    "op13_toxicity": lambda spark, sf_dir: toxicity.op13(
+        read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels")
+    ),
 }
 
 # The others cannot be said in SQL; their tests compare them with brute force.
