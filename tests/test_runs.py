@@ -1,0 +1,148 @@
+"""Which run folders belong to, and messages put aside."""
+
+from __future__ import annotations
+
+import os
+
+import pytest
+from rows import event, events
+from test_stream import assert_same, folders, messages_of, run, write_file  # noqa: F401
+
+from tillbook.operators.events import enrich_events, sort_out_events
+from tillbook.operators.metrics import window_metrics
+from tillbook.sources.fixtures import EVENT_RATE
+from tillbook.streaming import identity, orders, store
+from tillbook.streaming.orders import run_order_stream, store_batch
+from tillbook.streaming.quarantine import read_quarantine
+from tillbook.streaming.source import read_folder
+
+TABLES = ("store", "metrics")
+
+
+def start(spark, folders, **more):
+    query = run_order_stream(
+        read_folder(spark, folders["messages"], 1),
+        folders["store"], folders["metrics"], folders["checkpoint"],
+        EVENT_RATE, available_now=True, **more,
+    )
+    query.awaitTermination()
+
+
+def tables_of(folders):
+    return [folders[name] for name in TABLES]
+
+
+def test_the_first_start_writes_one_id_everywhere(spark, folders):
+    write_file(folders["messages"], 1, messages_of(spark, event()))
+    start(spark, folders)
+    ids = {identity.run_id(spark, folders[name]) for name in (*TABLES, "checkpoint")}
+    assert len(ids) == 1 and None not in ids
+    start(spark, folders)
+    assert {identity.run_id(spark, folders[name]) for name in (*TABLES, "checkpoint")} == ids
+
+
+def test_two_used_checkpoints_are_told_apart(spark, folders, tmp_path):
+    write_file(folders["messages"], 1, messages_of(spark, event()))
+    start(spark, folders)
+    other = folders | {name: str(tmp_path / f"other_{name}") for name in (*TABLES, "checkpoint")}
+    start(spark, other)
+    stored = store.read_events(spark, folders["store"]).collect()
+    for mixed in (
+        folders | {"checkpoint": other["checkpoint"]},
+        folders | {"metrics": other["metrics"]},
+        folders | {"store": other["store"]},
+    ):
+        with pytest.raises(ValueError, match="different runs"):
+            start(spark, mixed)
+    assert store.read_events(spark, folders["store"]).collect() == stored
+
+
+def test_a_missing_id_is_refused(spark, folders, tmp_path):
+    write_file(folders["messages"], 1, messages_of(spark, event()))
+    start(spark, folders)
+    for name in ("store", "metrics"):
+        with pytest.raises(ValueError, match="has no run id"):
+            start(spark, folders | {name: str(tmp_path / "empty")})
+    with pytest.raises(ValueError, match="is new"):
+        start(spark, folders | {"checkpoint": str(tmp_path / "empty")})
+    os.remove(os.path.join(folders["checkpoint"], identity.RUN_FILE))
+    with pytest.raises(ValueError, match="has no run id"):
+        start(spark, folders)
+    identity.adopt_run(spark, folders["checkpoint"], tables_of(folders))
+    start(spark, folders)
+
+
+def test_a_first_start_that_was_cut_off_is_completed(spark, folders):
+    identity.write_once(spark, f"{folders['store']}/{identity.RUN_FILE}", "abc")
+    found = identity.claim_run(spark, folders["checkpoint"], tables_of(folders))
+    assert found == "abc" == identity.run_id(spark, folders["checkpoint"])
+
+
+def test_of_two_writers_one_wins(spark, tmp_path):
+    path = str(tmp_path / "place" / "_run")
+    assert identity.write_once(spark, path, "first")
+    assert not identity.write_once(spark, path, "second")
+    assert identity.read_text(spark, path) == "first"
+    assert [n for n in os.listdir(tmp_path / "place") if not n.startswith(".")] == ["_run"]
+
+
+BROKEN = {
+    "": "empty",
+    "  ": "empty",
+    "not json": "not an object",
+    "[1, 2]": "not an object",
+    '{"invoice_no": "12': "not an object",
+    "{}": "no fields",
+    '{"other": 1}': "no fields",
+    '{"invoice_no": null}': "no fields",
+}
+PARTLY = '{"invoice_no": "1", "quantity": "many", "invoice_date": "2024-01-01T00:00:00"}'
+
+
+def test_reasons(spark):
+    good = messages_of(spark, event())
+    rows = [(text,) for text in [*BROKEN, None, PARTLY, *good]]
+    messages = spark.createDataFrame(rows, "value string")
+    for strict in (False, True):
+        found = {r["_message"]: r for r in sort_out_events(messages, strict).collect()}
+        assert {text: found[text]["_reason"] for text in BROKEN} == BROKEN
+        assert found[None]["_reason"] == "empty"
+        assert found[PARTLY]["_reason"] == ("unreadable field" if strict else None)
+        assert (found[PARTLY]["invoice_no"], found[PARTLY]["quantity"]) == ("1", None)
+        assert found[good[0]]["_reason"] is None and found[good[0]]["country"] == "France"
+
+
+def test_unreadable_messages_are_put_aside(spark, folders, tmp_path, monkeypatch):
+    aside = str(tmp_path / "aside")
+    rows = [event(), event(invoice="2", when="bad")]
+    write_file(folders["messages"], 1, [*messages_of(spark, rows[0]), "nonsense", "{}"])
+    write_file(folders["messages"], 2, [*messages_of(spark, rows[1]), "nonsense", PARTLY])
+
+    def fail(*_):
+        raise OSError("disk on fire")
+
+    # The first batch writes what it puts aside, fails, and is run again.
+    with monkeypatch.context() as broken:
+        broken.setattr(orders, "refresh_metrics", fail)
+        with pytest.raises(Exception, match="disk on fire"):
+            start(spark, folders, quarantine=aside, strict=True)
+    start(spark, folders, quarantine=aside, strict=True)
+    found = sorted((r["batch_id"], r["reason"], r["value"]) for r in read_quarantine(spark, aside).collect())
+    assert found == [
+        (0, "no fields", "{}"),
+        (0, "not an object", "nonsense"),
+        (1, "not an object", "nonsense"),
+        (1, "unreadable field", PARTLY),
+    ]
+    expected = enrich_events(events(spark, *rows), EVENT_RATE)
+    assert_same(store.read_events(spark, folders["store"]).drop("date", "batch_id"), expected)
+    assert_same(store.read_metrics(spark, folders["metrics"]), window_metrics(expected))
+
+
+def test_a_batch_of_unreadable_messages_only(spark, folders, tmp_path):
+    messages = spark.createDataFrame([("x",), ("",)], "value string")
+    batch = enrich_events(sort_out_events(messages), EVENT_RATE)
+    aside = str(tmp_path / "aside")
+    store_batch(batch, 0, folders["store"], folders["metrics"], quarantine=aside)
+    assert read_quarantine(spark, aside).count() == 2
+    assert not os.path.exists(folders["store"])

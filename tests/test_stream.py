@@ -232,7 +232,42 @@ def test_watermarked_metrics(spark, folders):
     expected = window_metrics(enrich_events(events(spark, *rows), EVENT_RATE))
     # The last window is open until the watermark passes it.
     closed = expected.filter(F.col("window_start") < "2024-01-01 06:00:00")
-    assert_same(found, closed.drop("top_product_code", "top_country"))
+    assert_same(found, closed)
+
+
+def test_watermarked_leaders_and_ties(spark, folders):
+    first = [
+        event("1", "B", quantity=3, country="EIRE"),
+        event("1", "A", quantity=1, country="EIRE"),
+        event("2", "A", quantity=2, when="2024-01-01T00:04:59"),
+        event("3", None, quantity=9, country=None),
+        event(None, "C", quantity=-1),
+        event("4", "A", when="2024-01-01T00:05:00", price=1e300),
+    ]
+    late = [event("5", "Z", quantity=50, when="2024-01-01T00:03:00", country="USA")]
+    last = [event("6", when="2024-01-01T06:00:00")]
+    # The late line comes within the delay, in a later batch than its window's others.
+    files = [first, [event("7", "A", when="2024-01-01T00:09:00")], late, last]
+    for number, rows in enumerate(files):
+        write_file(folders["messages"], number, messages_of(spark, *rows))
+    stream = enrich_events(parse_events(read_folder(spark, folders["messages"], 1)), EVENT_RATE)
+    query = (
+        streaming_window_metrics(stream)
+        .writeStream.format("memory")
+        .queryName("watermarked_leaders")
+        .outputMode("append")
+        .option("checkpointLocation", folders["checkpoint"])
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    found = spark.table("watermarked_leaders")
+    whole = window_metrics(enrich_events(events(spark, *sum(files, [])), EVENT_RATE))
+    assert_same(found, whole.filter(F.col("window_start") < "2024-01-01 06:00:00"))
+    leaders = found.orderBy("window_start").first()
+    assert (leaders["top_product_code"], leaders["top_country"]) == ("Z", "EIRE")  # all countries have one invoice
+    # Closed windows hold no state: only the last line's pieces are left.
+    assert all(op.numRowsTotal <= 3 for op in query.lastProgress.stateOperators)
 
 
 def test_kafka_options():

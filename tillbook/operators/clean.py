@@ -4,19 +4,30 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tillbook.functions.orders import customer_id_text, in_usd, is_cancelled, is_product
+from tillbook.operators.accounting import sort_lines
 from tillbook.schemas import BATCH_FALLBACK_RATE
 
 
-def drop_bad_rows(raw: DataFrame, extra_bad_codes: Iterable[str] = ()) -> DataFrame:
+def drop_bad_rows(
+    raw: DataFrame, extra_bad_codes: Iterable[str] = (), counts: Observation | None = None
+) -> DataFrame:
     """Keep lines with a customer and a product code.
 
-    Works on the raw columns, so the null test is pushed into the Parquet scan.
+    Works on the raw columns, so the null test is pushed into the Parquet scan. With ``counts``,
+    lines are counted by what becomes of them, for which all have to be read.
     """
     customer = F.col("Customer ID")
+    if counts is not None:
+        reasons = {
+            "no customer": customer.isNull() | F.isnan(customer),
+            "no stock code": F.col("StockCode").isNull(),
+            "not a product": ~is_product(F.col("StockCode"), extra_bad_codes),
+        }
+        return sort_lines(raw, reasons, counts)
     return raw.filter(
         customer.isNotNull()
         & ~F.isnan(customer)
@@ -96,8 +107,12 @@ def clean_orders(
     rates: DataFrame,
     fallback_rate: float = BATCH_FALLBACK_RATE,
     extra_bad_codes: Iterable[str] = (),
+    counts: Observation | None = None,
 ) -> DataFrame:
-    """The whole cleaning job: one scan and one broadcast join, with no shuffle of orders."""
-    lines = standardize(drop_bad_rows(raw, extra_bad_codes))
+    """The whole cleaning job: one scan and one broadcast join, with no shuffle of orders.
+
+    ``counts`` gets the number of lines kept and dropped by reason once the result is written.
+    """
+    lines = standardize(drop_bad_rows(raw, extra_bad_codes, counts))
     lines = add_totals(flag_cancelled(lines))
     return add_usd(enrich_fx(lines, rates, fallback_rate))

@@ -7,15 +7,25 @@ from pyspark.sql import functions as F
 
 from tillbook.functions.calendar import date_key, day_name, monday_based_weekday, month_name
 from tillbook.functions.orders import currency, region
-from tillbook.operators.keys import assign_dense_key
+from tillbook.operators.keys import assign_dense_key, continue_dense_key
 from tillbook.schemas import PRODUCT_CATEGORY, RFM_SEGMENT
 
 # What unit prices are summed as; a price that does not fit is an error.
 PRICE = "decimal(28,10)"
 
 
-def dim_customer(orders: DataFrame) -> DataFrame:
-    """One row per customer; cancelled invoices count too."""
+def _keyed(rows: DataFrame, known: DataFrame | None, business: str, name: str) -> DataFrame:
+    """Rows with their surrogate key, going on from the keys of an earlier run if there are any."""
+    if known is None:
+        return assign_dense_key(rows, [business], name)
+    return continue_dense_key(rows, known, business, name)
+
+
+def dim_customer(orders: DataFrame, known: DataFrame | None = None) -> DataFrame:
+    """One row per customer; cancelled invoices count too.
+
+    With ``known``, an earlier customer dimension, its keys stay, see ``continue_dense_key``.
+    """
     # Text maxima cannot be hash-aggregated, so countries become groups first: the order
     # lines are only hashed, down to a customer's countries and invoices.
     columns = ("customer_id", "country", "invoice_no")
@@ -30,12 +40,12 @@ def dim_customer(orders: DataFrame) -> DataFrame:
         F.max("last_day").alias("last_purchase_date"),
         F.count("invoice_no").alias("total_orders"),
     )
-    keyed = assign_dense_key(customers, ["customer_id"], "customer_key")
+    keyed = _keyed(customers, known, "customer_id", "customer_key")
     return keyed.withColumn("rfm_segment", F.lit(RFM_SEGMENT))
 
 
-def dim_product(orders: DataFrame) -> DataFrame:
-    """One row per stock code."""
+def dim_product(orders: DataFrame, known: DataFrame | None = None) -> DataFrame:
+    """One row per stock code; the keys of ``known`` stay."""
     # As above: descriptions are groups while there are many lines. Prices are summed as
     # decimals, so that the average does not depend on the order of the lines.
     priced = orders.select(
@@ -49,7 +59,7 @@ def dim_product(orders: DataFrame) -> DataFrame:
         F.max("description").alias("description"),
         F.round(mean, 2).cast("double").alias("avg_price_gbp"),
     )
-    keyed = assign_dense_key(products, ["stock_code"], "product_key")
+    keyed = _keyed(products, known, "stock_code", "product_key")
     return keyed.withColumn("category", F.lit(PRODUCT_CATEGORY))
 
 
@@ -63,9 +73,9 @@ def country_regions(orders: DataFrame) -> DataFrame:
     )
 
 
-def dim_country(orders: DataFrame) -> DataFrame:
-    """One row per country."""
-    return assign_dense_key(country_regions(orders), ["country_name"], "country_key")
+def dim_country(orders: DataFrame, known: DataFrame | None = None) -> DataFrame:
+    """One row per country; the keys of ``known`` stay."""
+    return _keyed(country_regions(orders), known, "country_name", "country_key")
 
 
 def dim_date(orders: DataFrame) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from tillbook.functions.calendar import event_time, iso_text
 from tillbook.functions.orders import float_text, in_usd, is_anomaly
@@ -14,6 +15,10 @@ from tillbook.schemas import (
     STREAM_FALLBACK_RATE,
 )
 
+# What ``sort_out_events`` adds to an event.
+MESSAGE = "_message"
+REASON = "_reason"
+
 
 def to_event_json(raw: DataFrame) -> DataFrame:
     """Raw invoice lines as JSON text in ``value``.
@@ -54,6 +59,33 @@ def parse_events(messages: DataFrame) -> DataFrame:
     ).select("event.*")
 
 
+def sort_out_events(messages: DataFrame, strict: bool = False) -> DataFrame:
+    """Like ``parse_events``, with the message's text and why it could not be read.
+
+    The reason is null for an event. ``empty``: no text, or white space. ``not an object``: text
+    that is no JSON object, or one cut off before any field. ``no fields``: an object without a
+    value for any field of an event. With ``strict``, ``unreadable field`` is one too: a field has
+    another type, or the text breaks off behind some fields; otherwise, as in ``parse_events``,
+    such an event keeps what could be read.
+    """
+    broken = "_broken"
+    schema = StructType([*ORDER_EVENT.fields, StructField(broken, StringType())])
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": broken}
+    text = F.col("value").cast("string")
+    parsed = messages.select(
+        text.alias(MESSAGE), F.from_json(text, schema, options).alias("event")
+    ).select(MESSAGE, "event.*")
+    nothing = F.coalesce(*(F.col(name).cast("string") for name in ORDER_EVENT.names)).isNull()
+    reason = (
+        F.when(F.coalesce(F.trim(MESSAGE), F.lit("")) == "", "empty")
+        .when(nothing & F.col(broken).isNotNull(), "not an object")
+        .when(nothing, "no fields")
+    )
+    if strict:
+        reason = reason.when(F.col(broken).isNotNull(), "unreadable field")
+    return parsed.select(*ORDER_EVENT.names, MESSAGE, reason.alias(REASON))
+
+
 def flag_anomaly(events: DataFrame) -> DataFrame:
     return events.withColumn("is_anomaly", is_anomaly(F.col("quantity"), F.col("unit_price")))
 

@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tillbook.functions.calendar import date_key
+from tillbook.operators.accounting import sort_lines
 from tillbook.operators.keys import assign_dense_key
 from tillbook.staging import stage
 
@@ -74,9 +75,12 @@ def lookup_keys(
     dim_product: DataFrame,
     dim_country: DataFrame,
     broadcast_limit: int = BROADCAST_BYTES,
+    counts: Observation | None = None,
 ) -> tuple[DataFrame, bool]:
     """Inner-join the three surrogate keys; also tell whether no join needed a shuffle.
 
+    With ``counts``, lines without a key are found by left joins, and counted as they are dropped.
+
     The key tables are broadcast from the smallest on while all of them together stay within
     ``broadcast_limit``. The others go through a shuffle join, where adaptive execution
     splits the partition of a hot key.
@@ -94,7 +98,13 @@ def lookup_keys(
         total += size
         if total <= broadcast_limit:
             keys = F.broadcast(keys)
-        orders = orders.join(keys, column, "inner")
+        orders = orders.join(keys, column, "inner" if counts is None else "left")
+    if counts is not None:
+        reasons = {
+            f"no {surrogate.removesuffix('_key')}": F.col(surrogate).isNull()
+            for _, _, surrogate, _ in lookups
+        }
+        orders = sort_lines(orders, reasons, counts)
     return orders, total <= broadcast_limit
 
 
@@ -105,15 +115,19 @@ def build_fact_orders(
     dim_country: DataFrame,
     stored: bool = False,
     broadcast_limit: int = BROADCAST_BYTES,
+    counts: Observation | None = None,
 ) -> DataFrame:
     """One row per order line whose customer, product and country are all known.
 
+    ``counts`` gets the number of lines kept and of those without a country, product or customer;
+    the lines are staged for it, as the key sort would run their plan twice.
+
     Pass ``stored=True`` when ``orders`` is a scan of stored files: it then goes straight
     into the key sort. Anything else, and the result of a shuffle join, is staged first,
     because copies of a line are told apart by their place in a file.
     """
     lines, all_broadcast = lookup_keys(
-        orders, dim_customer, dim_product, dim_country, broadcast_limit
+        orders, dim_customer, dim_product, dim_country, broadcast_limit, counts
     )
     lines = lines.select(
         "invoice_no",
@@ -133,7 +147,7 @@ def build_fact_orders(
         F.col("invoice_date").alias("event_timestamp"),
     )
     source = orders
-    if not (stored and all_broadcast):
+    if not (stored and all_broadcast) or counts is not None:
         source = lines = stage(lines, "fact_lines")
     keyed = assign_dense_key(
         lines,

@@ -76,3 +76,39 @@ def assign_dense_key(
     return placed.join(F.broadcast(offsets), partition == F.col("_partition")).select(
         *columns, key
     )
+
+
+def continue_dense_key(
+    rows: DataFrame,
+    known: DataFrame,
+    business: str,
+    name: str,
+    key_type: str = "int",
+) -> DataFrame:
+    """A dimension that goes on from ``known``: ``rows``, one per ``business`` key, with ``name``.
+
+    Business keys that ``known`` has keep their key, new ones are numbered behind its highest in
+    the order of ``business``, and rows of ``known`` that ``rows`` no longer has stay as they
+    were, so no key ever changes its meaning or is given twice. Without known rows this is
+    ``assign_dense_key``. A business key or a key that ``known`` has twice is an error.
+    """
+    columns = [c for c in rows.columns if c != name]
+    rows = stage(rows.select(columns), f"{name}-rows")
+    old = known.select(F.col(business).alias("_business"), F.col(name).alias("_key"))
+    twice = F.concat(F.lit("more than one row for "), F.coalesce(F.col("_business"), F.lit("null")))
+    keys = old.groupBy("_business").agg(
+        F.when(F.count(F.lit(1)) > 1, F.raise_error(twice)).otherwise(F.max("_key")).alias("_key")
+    )
+    highest, given, distinct = known.agg(
+        F.max(name), F.count(F.lit(1)), F.count_distinct(name)
+    ).first()
+    if given != distinct:
+        raise ValueError(f"{name} is null or repeated in the known rows")
+    matched = rows.join(keys, F.col(business).eqNullSafe(F.col("_business")), "left")
+    kept = matched.filter("_key IS NOT NULL").select(*columns, F.col("_key").alias(name))
+    new = assign_dense_key(
+        matched.filter("_key IS NULL").select(columns), [business], name, key_type
+    ).withColumn(name, (F.col(name) + (highest or 0)).cast(key_type))
+    current = rows.select(F.col(business).alias("_business"))
+    gone = known.join(current, F.col(business).eqNullSafe(F.col("_business")), "left_anti")
+    return kept.unionByName(new).unionByName(gone.select(*columns, name))

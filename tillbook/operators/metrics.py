@@ -84,28 +84,43 @@ def _totals() -> list[Column]:
     ]
 
 
-def window_metrics(lines: DataFrame) -> DataFrame:
-    """All metrics of every window, from one pass over the lines.
+def window_pieces(lines: DataFrame) -> DataFrame:
+    """What the metrics of every window are made of, as ``METRIC_PIECES``.
 
     Grouping sets bring the lines down to distinct invoices, products and country invoices
-    per window; two small roll-ups follow. Each step combines before its shuffle and groups
-    by more than the window until the last, so that a window with very many lines is worked
-    on by many tasks.
+    per window. Unlike metrics, pieces of two sets of lines can be put together by
+    ``merge_pieces``.
     """
     start, invoice, code, country = "window_start", "invoice_no", "stock_code", "country"
-    pieces = (
+    return (
         in_windows(lines, invoice, code, country, "quantity", *_amounts())
         .groupingSets(
             [[start, invoice], [start, code], [start, country, invoice]],
             *(start, invoice, code, country),
         )
         .agg(
-            F.grouping_id().alias("piece"),
+            F.grouping_id().cast("int").alias("piece"),
             F.sum("quantity").alias("units"),
             *_sums(),
             F.count("gbp").alias("priced"),
         )
     )
+
+
+def merge_pieces(pieces: DataFrame) -> DataFrame:
+    """Pieces with one row for each window, kind and name again."""
+    return pieces.groupBy("window_start", "piece", "invoice_no", "stock_code", "country").agg(
+        F.sum("units").alias("units"), *_sums(), F.sum("priced").alias("priced")
+    )
+
+
+def pieces_metrics(pieces: DataFrame) -> DataFrame:
+    """The metrics of every window from its pieces, each given once.
+
+    Two small roll-ups; each combines before its shuffle and groups by more than the window
+    until the last, so that a window with very many pieces is worked on by many tasks.
+    """
+    start, invoice, code, country = "window_start", "invoice_no", "stock_code", "country"
     # grouping_id sets a bit for each column left out, the last column lowest.
     by_invoice = F.col("piece") == 0b0011
     by_code = F.col("piece") == 0b0101
@@ -136,6 +151,11 @@ def window_metrics(lines: DataFrame) -> DataFrame:
     )
 
 
+def window_metrics(lines: DataFrame) -> DataFrame:
+    """All metrics of every window, from one pass over the lines."""
+    return pieces_metrics(window_pieces(lines))
+
+
 def top_product(lines: DataFrame) -> DataFrame:
     """Per window, the stock code with the highest summed quantity."""
     units = in_windows(lines, "stock_code", "quantity").groupBy("window_start", "stock_code")
@@ -167,27 +187,60 @@ def upsert(current: DataFrame, updates: DataFrame) -> DataFrame:
 
 
 def streaming_window_metrics(events: DataFrame, delay: str = "10 minutes") -> DataFrame:
-    """Order count, revenue and mean line value as an append-mode streaming aggregation.
-
-    A window appears once the watermark has passed it, and events later than ``delay`` are
-    left out. ``run_order_stream`` keeps exact metrics of late events too.
+    """All metrics of every window, leaders included, as append-mode streaming aggregations.
+
+    Each line becomes three pieces, and three aggregations follow one another as in
+    ``window_metrics``: distinct names within a window, totals of products and countries, and
+    the window. All group by the window, so the watermark closes their states together, and
+    they hold open windows only. A window appears once the watermark has passed it, and events
+    later than ``delay`` are left out. ``run_order_stream`` keeps exact metrics of late events
+    too.
     """
-    per_invoice = (
+    names = ("invoice_no", "stock_code", "country")
+    kinds = {"invoice": ("invoice_no",), "product": ("stock_code",), "country": ("country", "invoice_no")}
+    piece = F.explode(F.array(*(F.lit(kind) for kind in kinds))).alias("piece")
+
+    def of_kind(name: str) -> Column:
+        held = [kind for kind, columns in kinds.items() if name in columns]
+        return F.when(F.col("piece").isin(held), F.col(name)).alias(name)
+
+    lines = (
         events.withWatermark("invoice_date", delay)
-        .select("invoice_date", "invoice_no", *_amounts())
-        .groupBy(F.window("invoice_date", METRIC_WINDOW).alias("span"), "invoice_no")
-        .agg(*_sums(), F.count("gbp").alias("priced"))
+        .select("invoice_date", *names, "quantity", *_amounts(), piece)
+        .select(
+            F.window("invoice_date", METRIC_WINDOW).alias("span"),
+            "piece",
+            *(of_kind(name) for name in names),
+            *("quantity", "gbp", "gbp_lost", "usd", "usd_lost"),
+        )
     )
-    per_window = per_invoice.groupBy(
-        F.window(F.window_time("span"), METRIC_WINDOW).alias("span")
-    ).agg(
-        F.count("invoice_no").alias("order_count"),
+    pieces = lines.groupBy("span", "piece", *names).agg(
+        F.sum("quantity").alias("units"), *_sums(), F.count("gbp").alias("priced")
+    )
+
+    def same_window() -> Column:
+        return F.window(F.window_time("span"), METRIC_WINDOW).alias("span")
+
+    rolled = pieces.groupBy(same_window(), "piece", "stock_code", "country").agg(
+        F.count("invoice_no").alias("invoices"),
+        F.sum("units").alias("units"),
         *_sums(),
         F.sum("priced").alias("priced"),
     )
+    by_product = F.col("piece") == "product"
+    product, country = (F.when(F.col("piece") == kind, F.col(name)) for kind, name in (("product", "stock_code"), ("country", "country")))
+    per_window = rolled.groupBy(same_window()).agg(
+        F.sum(F.when(F.col("piece") == "invoice", F.col("invoices"))).alias("order_count"),
+        *_sums(by_product),
+        F.sum(F.when(by_product, F.col("priced"))).alias("priced"),
+        _leader(F.col("units"), product).alias("top_product_code"),
+        _leader(F.col("invoices"), country).alias("top_country"),
+    )
     return per_window.select(
         F.col("span.start").alias("window_start"),
         F.col("span.end").alias("window_end"),
         "order_count",
         *_totals(),
+        "top_product_code",
+        "top_country",
     )

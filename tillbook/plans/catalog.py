@@ -4,20 +4,24 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from functools import reduce
+from typing import NamedTuple
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tillbook.functions.orders import normalize_customer_id
-from tillbook.operators import clean, dims, events, fact, metrics, profile
+from tillbook.operators import bucketed, clean, dims, events, fact, metrics, profile
 from tillbook.plans.batch import run_batch
 from tillbook.plans.revenue import revenue_by_region
+from tillbook.schemas import ORDER_EVENT
 from tillbook.session import new_folder
 from tillbook.sinks.topic import write_events_to_folder
 from tillbook.sources import fixtures, rates, tables
 from tillbook.staging import stage
-from tillbook.streaming import store
+from tillbook.streaming import replay, store
+from tillbook.streaming.generations import committed_batch, drop_merged
 from tillbook.streaming.orders import run_order_stream
+from tillbook.streaming.quarantine import read_quarantine
 from tillbook.streaming.source import read_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -55,6 +59,14 @@ STAR_SUMS = {
         "value_sum": "CAST(total_amount_usd AS DECIMAL(18,2))",
     },
 }
+# Days that are merged before a stream's second half of events, and after it.
+MERGED_FIRST = "2024-01-21"
+MERGED_LAST = "2024-01-11"
+# The batches of ``paced_replay``, one a second.
+REPLAY_SECONDS = 5
+# The earlier run of ``continued_customers`` has the orders before this moment.
+EARLIER_UNTIL = "1995-06-01 00:00:00"
+BUCKETS = 16
 _MESSAGES_PER_FILE = 1_000_000
 _STREAM_BATCHES = 4
 
@@ -165,6 +177,97 @@ def _run_stream(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
     return f"{folder}/events", f"{folder}/metrics"
 
 
+class _Folders(NamedTuple):
+    """Where a stream of several starts keeps its tables."""
+
+    root: str
+    store: str
+    metrics: str
+    pieces: str
+    quarantine: str
+    checkpoint: str
+
+
+def _stream_folders(spark: SparkSession) -> _Folders:
+    root = new_folder(spark, "order_stream")
+    return _Folders(root, *(f"{root}/{name}" for name in _Folders._fields[1:]))
+
+
+def _go_on(spark: SparkSession, folders: _Folders, messages: DataFrame, strict: bool = False) -> None:
+    """Send some messages and work them off in a few batches."""
+    write_events_to_folder(messages.repartition(_STREAM_BATCHES), f"{folders.root}/messages")
+    files = -(-_STREAM_BATCHES // 2)
+    run_order_stream(
+        read_folder(spark, f"{folders.root}/messages", files),
+        folders.store,
+        folders.metrics,
+        folders.checkpoint,
+        fixtures.EVENT_RATE,
+        available_now=True,
+        pieces=folders.pieces,
+        quarantine=folders.quarantine,
+        strict=strict,
+    ).awaitTermination()
+
+
+def _merged_stream(spark: SparkSession, sf_dir: str) -> _Folders:
+    """A stream of all order events, some days of which are merged while it still goes on.
+
+    After the first half of the events, two thirds of the days are merged and their batches
+    dropped; the second half brings late events for all of them. Then other days are merged.
+    """
+    folders = _stream_folders(spark)
+    messages = fixtures.order_messages(fixtures.order_events(spark, sf_dir))
+    half = F.pmod(F.xxhash64("value"), F.lit(2))
+    tables = (folders.store, folders.metrics, folders.pieces)
+    for turn, before in enumerate((MERGED_FIRST, MERGED_LAST)):
+        _go_on(spark, folders, messages.filter(half == turn))
+        committed = committed_batch(spark, folders.checkpoint)
+        store.merge_closed_days(spark, committed, before, *tables)
+        for table in tables:
+            drop_merged(spark, table, 0)
+    return folders
+
+
+def stream_compacted_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folders = _merged_stream(spark, sf_dir)
+    return store.read_events(spark, folders.store).drop("batch_id")
+
+
+def stream_compacted_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The metrics of merged and later batches, as the stream has kept them."""
+    folders = _merged_stream(spark, sf_dir)
+    return _plain_metrics(store.read_metrics(spark, folders.metrics))
+
+
+def stream_piece_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The metrics put together from the pieces of all batches, a half of the events a start."""
+    folders = _stream_folders(spark)
+    messages = fixtures.order_messages(fixtures.order_events(spark, sf_dir))
+    half = F.pmod(F.xxhash64("value"), F.lit(2))
+    for turn in (0, 1):
+        _go_on(spark, folders, messages.filter(half == turn))
+    return _plain_metrics(store.read_piece_metrics(spark, folders.pieces))
+
+
+def _damaged_stream(spark: SparkSession, sf_dir: str) -> _Folders:
+    folders = _stream_folders(spark)
+    _go_on(spark, folders, fixtures.damaged_messages(spark, sf_dir), strict=True)
+    return folders
+
+
+def stream_quarantine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Messages that a stream could not read, a text file's empty and missing ones alike."""
+    folders = _damaged_stream(spark, sf_dir)
+    return read_quarantine(spark, folders.quarantine).select("reason", "value")
+
+
+def stream_readable_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The events that the same stream has stored."""
+    folders = _damaged_stream(spark, sf_dir)
+    return store.read_events(spark, folders.store).drop("batch_id")
+
+
 def stream_append_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     stored, _ = _run_stream(spark, sf_dir)
     return store.read_events(spark, stored).drop("batch_id")
@@ -194,6 +297,83 @@ def closed_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _plain_metrics(spark.read.parquet(f"{folder}/metrics"))
 
 
+def paced_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each second of a replay has sent: all lines, in order, in ``REPLAY_SECONDS``."""
+    numbered = replay.number_lines(fixtures.raw_orders(spark, sf_dir))
+    folder = new_folder(spark, "replay")
+    pace = -(-numbered.count() // REPLAY_SECONDS)
+    replay.run_paced_replay(
+        numbered, replay.to_folder(f"{folder}/messages"), f"{folder}/checkpoint", pace
+    )
+    sent = spark.read.schema("value string, batch bigint").text(f"{folder}/messages")
+    batch = F.col("batch").cast("bigint").alias("batch")
+    values = sent.select(batch, F.from_json("value", ORDER_EVENT).alias("e")).select("batch", "e.*")
+    return values.groupBy("batch").agg(
+        F.count(F.lit(1)).alias("lines"),
+        F.sum("quantity").alias("units"),
+        F.min("invoice_date").alias("first_time"),
+        F.max("invoice_date").alias("last_time"),
+        F.count_distinct("invoice_no").alias("invoices"),
+    )
+
+
+def _earlier(orders: DataFrame) -> DataFrame:
+    return orders.filter(F.col("invoice_date") < F.to_timestamp(F.lit(EARLIER_UNTIL)))
+
+
+def continued_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers of all orders, with the keys of an earlier run going on."""
+    orders = stage(_cleaned(spark, sf_dir), "cleaned_orders")
+    return dims.dim_customer(orders, dims.dim_customer(_earlier(orders)))
+
+
+def continued_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Products of the later orders, behind those of an earlier run, which stay."""
+    orders = stage(_cleaned(spark, sf_dir), "cleaned_orders")
+    later = orders.filter(F.col("invoice_date") >= F.to_timestamp(F.lit(EARLIER_UNTIL)))
+    return dims.dim_product(later, dims.dim_product(_earlier(orders)))
+
+
+def row_accounting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many lines cleaning and key lookup drop, and why, counted while they run.
+
+    The fact is built with dimensions that lack some customers and products.
+    """
+    cleaning, lookup = Observation(), Observation()
+    raw = fixtures.raw_orders(spark, sf_dir)
+    orders = stage(
+        clean.clean_orders(raw, fixtures.fx_rates(spark, sf_dir), counts=cleaning), "cleaned_orders"
+    )
+    fact.build_fact_orders(
+        orders,
+        dims.dim_customer(orders.filter("customer_id NOT LIKE '%3'")),
+        dims.dim_product(orders.filter("stock_code NOT LIKE '%7'")),
+        dims.dim_country(orders),
+        stored=True,
+        counts=lookup,
+    )
+    counted = [
+        (step, reason, lines)
+        for step, counts in (("clean", cleaning), ("fact", lookup))
+        for reason, lines in counts.get.items()
+    ]
+    return spark.createDataFrame(counted, "step string, reason string, lines bigint")
+
+
+def bucketed_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines with their customer's key, both sides stored in buckets."""
+    orders = stage(_cleaned(spark, sf_dir), "cleaned_orders")
+    folder = new_folder(spark, "bucketed")
+    lines = bucketed.write_bucketed(
+        orders.select("customer_id", "invoice_no", "stock_code", "quantity"),
+        f"{folder}/orders", "customer_id", BUCKETS,
+    )
+    customers = bucketed.write_bucketed(
+        dims.dim_customer(orders), f"{folder}/customers", "customer_id", BUCKETS, split_hot=False
+    )
+    return bucketed.lookup_bucketed(spark, lines, customers, "customer_key")
+
+
 def _raw(operator: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda spark, sf_dir: operator(fixtures.raw_orders(spark, sf_dir))
 
@@ -256,4 +436,14 @@ QUERIES: dict[str, Query] = {
     "stream_append_events": stream_append_events,
     "stream_window_metrics": stream_window_metrics,
     "stream_closed_windows": closed_windows,
+    "stream_compacted_events": stream_compacted_events,
+    "stream_compacted_metrics": stream_compacted_metrics,
+    "stream_piece_metrics": stream_piece_metrics,
+    "paced_replay": paced_replay,
+    "continued_customers": continued_customers,
+    "continued_products": continued_products,
+    "row_accounting": row_accounting,
+    "bucketed_lookup": bucketed_lookup,
+    "stream_quarantine": stream_quarantine,
+    "stream_readable_events": stream_readable_events,
 }

@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
-from tillbook.plans.catalog import RERATED, RERATED_FROM, STAR_SUMS
+from tillbook.plans.catalog import (
+    EARLIER_UNTIL,
+    REPLAY_SECONDS,
+    RERATED,
+    RERATED_FROM,
+    STAR_SUMS,
+)
 from tillbook.schemas import EUROPE
-from tillbook.sources.fixtures import COUNTRIES, EVENT_RATE
+from tillbook.sources.fixtures import COUNTRIES, DAMAGED_EVERY, EVENT_RATE
 
 
 def _names(names: tuple[str, ...]) -> str:
@@ -136,6 +142,8 @@ _EVENTS = f"""order_events AS (
   FROM events
 )"""
 
+_UNDAMAGED = _EVENTS.replace("FROM events", f"FROM events WHERE event_id % {DAMAGED_EVERY} >= 6")
+
 
 def _enriched(rate: float, name: str = "enriched") -> str:
     return f"""{name} AS (
@@ -238,6 +246,50 @@ _STAR_COUNTS = "\nUNION ALL ".join(
 
 _APPENDED = "SELECT *, CAST(invoice_date AS DATE) AS \"date\" FROM enriched"
 
+_REPLAYED = f"""SELECT CAST(place // pace AS BIGINT) AS batch, count(*) AS lines,
+  CAST(sum("Quantity") AS BIGINT) AS units,
+  {_EVENT_TIME.format('min("InvoiceDate")')} AS first_time,
+  {_EVENT_TIME.format('max("InvoiceDate")')} AS last_time,
+  count(DISTINCT "Invoice") AS invoices
+FROM (SELECT *, row_number() OVER (ORDER BY "InvoiceDate" NULLS FIRST, "Invoice" NULLS FIRST,
+               "StockCode" NULLS FIRST, "Description" NULLS FIRST, "Quantity" NULLS FIRST,
+               "Price" NULLS FIRST, "Customer ID" NULLS FIRST, "Country" NULLS FIRST) - 1 AS place,
+             (count(*) OVER () + {REPLAY_SECONDS - 1}) // {REPLAY_SECONDS} AS pace
+      FROM raw)
+GROUP BY 1"""
+
+
+def _numbered(business: str, key: str) -> str:
+    """Business keys of an earlier and a later run with keys that go on."""
+    return f"""numbered AS (
+  SELECT {business}, CAST(row_number() OVER (ORDER BY late, {business}) AS INTEGER) AS {key}
+  FROM (SELECT {business}, min(invoice_date) >= TIMESTAMP '{EARLIER_UNTIL}' AS late
+        FROM cleaned GROUP BY 1))"""
+
+
+# Cleaned orders of one of two runs, for the steps that read ``cleaned``.
+def _part(name: str, condition: str) -> str:
+    return f"{name} AS (SELECT * FROM cleaned WHERE invoice_date {condition} TIMESTAMP '{EARLIER_UNTIL}')"
+
+
+_ROW_ACCOUNTING = """marked AS (
+  SELECT CASE WHEN "Customer ID" IS NULL THEN 'no customer'
+              WHEN "StockCode" IS NULL THEN 'no stock code'
+              WHEN regexp_full_match("StockCode", '[a-zA-Z]+') THEN 'not a product'
+              ELSE 'kept' END AS reason FROM raw),
+looked AS (
+  SELECT CASE WHEN country IS NULL THEN 'no country'
+              WHEN stock_code LIKE '%7' THEN 'no product'
+              WHEN customer_id LIKE '%3' THEN 'no customer'
+              ELSE 'kept' END AS reason FROM cleaned)"""
+_ROW_COUNTS = """SELECT step, reason, count(r) AS lines FROM (VALUES
+  ('clean', 'no customer'), ('clean', 'no stock code'), ('clean', 'not a product'),
+  ('clean', 'kept'), ('fact', 'no country'), ('fact', 'no product'), ('fact', 'no customer'),
+  ('fact', 'kept')) AS v(step, reason)
+LEFT JOIN (SELECT 'clean' AS s, reason AS r FROM marked
+           UNION ALL SELECT 'fact', reason FROM looked) ON s = step AND r = reason
+GROUP BY 1, 2"""
+
 ORACLES: dict[str, str] = {
     "raw_orders": _raw_sql("SELECT * FROM raw"),
     "fx_rates": _with(_RATES, select="SELECT * FROM rates"),
@@ -334,7 +386,46 @@ SELECT * FROM corrected WHERE window_start >= TIMESTAMP '{RERATED_FROM}'""",
     "stream_window_metrics": _event_sql(_metrics(), select="SELECT * FROM metrics"),
     "stream_closed_windows": _event_sql(
         _metrics(),
-        select="SELECT * EXCLUDE (top_product_code, top_country) FROM metrics WHERE window_end "
+        select="SELECT * FROM metrics WHERE window_end "
         "<= (SELECT max(invoice_date) FROM enriched) - INTERVAL 10 MINUTE",
     ),
+    "stream_compacted_events": _event_sql(select=_APPENDED),
+    "stream_compacted_metrics": _event_sql(_metrics(), select="SELECT * FROM metrics"),
+    "stream_piece_metrics": _event_sql(_metrics(), select="SELECT * FROM metrics"),
+    "paced_replay": _raw_sql(_REPLAYED),
+    "continued_customers": _clean_sql(
+        _CUSTOMERS,
+        _numbered("customer_id", "customer_key"),
+        select="SELECT customers.* EXCLUDE (customer_key), numbered.customer_key "
+        "FROM customers JOIN numbered USING (customer_id)",
+    ),
+    "continued_products": _clean_sql(
+        _part("later", ">="),
+        _part("earlier", "<"),
+        _PRODUCTS.replace("FROM cleaned", "FROM later").replace("products AS", "newer AS"),
+        _PRODUCTS.replace("FROM cleaned", "FROM earlier").replace("products AS", "older AS"),
+        _numbered("stock_code", "product_key"),
+        select="""SELECT p.* EXCLUDE (product_key), numbered.product_key
+FROM (SELECT * FROM newer UNION ALL SELECT * FROM older ANTI JOIN newer USING (stock_code)) p
+JOIN numbered USING (stock_code)""",
+    ),
+    "row_accounting": _clean_sql(_ROW_ACCOUNTING, select=_ROW_COUNTS),
+    "bucketed_lookup": _clean_sql(
+        _CUSTOMERS,
+        select="SELECT customer_id, invoice_no, stock_code, quantity, customer_key "
+        "FROM cleaned JOIN (SELECT customer_id, customer_key FROM customers) USING (customer_id)",
+    ),
+    "stream_quarantine": f"""SELECT CASE kind WHEN 0 THEN 'empty' WHEN 4 THEN 'empty'
+    WHEN 1 THEN 'not an object' WHEN 3 THEN 'not an object'
+    WHEN 2 THEN 'no fields' ELSE 'unreadable field' END AS reason,
+  CASE kind WHEN 0 THEN '' WHEN 1 THEN 'order ' || invoice_no
+    WHEN 2 THEN '{{"order": "' || invoice_no || '"}}'
+    WHEN 3 THEN '{{"invoice_no": "' || invoice_no
+    WHEN 4 THEN '' ELSE '{{"invoice_no": "' || invoice_no || '", "quantity": "x"}}'
+  END AS value
+FROM (SELECT event_id % {DAMAGED_EVERY} AS kind,
+             CASE WHEN event_type = 'error' THEN 'C' ELSE '' END
+               || CAST(event_id // 2 AS VARCHAR) AS invoice_no FROM events)
+WHERE kind < 6""",
+    "stream_readable_events": f"WITH {_UNDAMAGED}, {_enriched(EVENT_RATE)}\n{_APPENDED}",
 }

@@ -14,6 +14,7 @@ NON_PRODUCT_CODE = "^[a-zA-Z]+$"
 CANCELLED_PREFIX = "C"
 EVENT_TIME_FORMAT = "yyyy-MM-dd'T'HH:mm:ss"
 REPLAY_ROWS = {"test": 100, "full": None}
+REPLAY_ROWS_PER_SECOND = {"test": 5, "full": 200}
 RFM_SEGMENT = "Active"
 PRODUCT_CATEGORY = "General"
 HOME_COUNTRY = "United Kingdom"
@@ -105,6 +106,35 @@ STORED_METRICS = T.StructType(
     ]
 )
 
+# What window metrics are put together from, by batch: a distinct invoice, product, or invoice of
+# a country in a window, as ``piece`` tells.
+METRIC_PIECES = T.StructType(
+    [
+        T.StructField("window_start", T.TimestampType()),
+        T.StructField("piece", T.IntegerType()),
+        T.StructField("invoice_no", T.StringType()),
+        T.StructField("stock_code", T.StringType()),
+        T.StructField("country", T.StringType()),
+        T.StructField("units", T.LongType()),
+        T.StructField("gbp", T.DecimalType(38, 10)),
+        T.StructField("gbp_lost", T.BooleanType()),
+        T.StructField("usd", T.DecimalType(38, 10)),
+        T.StructField("usd_lost", T.BooleanType()),
+        T.StructField("priced", T.LongType()),
+        T.StructField("date", T.DateType()),
+        T.StructField("batch_id", T.LongType()),
+    ]
+)
+
+# Messages that could not be read.
+QUARANTINED = T.StructType(
+    [
+        T.StructField("value", T.StringType()),
+        T.StructField("reason", T.StringType()),
+        T.StructField("batch_id", T.LongType()),
+    ]
+)
+
 # Column types of the relational warehouse that differ from those of the lake tables.
 WAREHOUSE_TYPES = {
     "dim_customer": {"total_orders": "int"},

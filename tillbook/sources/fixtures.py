@@ -13,6 +13,7 @@ COUNTRIES = (
 )
 RATE_EPOCH = "1995-01-02"
 EVENT_RATE = 1.25
+DAMAGED_EVERY = 101
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
@@ -84,8 +85,8 @@ def rate_responses(rates: DataFrame) -> DataFrame:
     )
 
 
-def order_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One order event per row of ``events``."""
+def order_events(spark: SparkSession, sf_dir: str, *extra: str) -> DataFrame:
+    """One order event per row of ``events``, beside ``extra`` columns of it."""
     events = _table(
         spark, sf_dir, "events", "event_id", "ts", "user_id", "event_type", "value", "props"
     )
@@ -102,6 +103,7 @@ def order_events(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.floor(F.col("value") * 4) / 4 * 10).cast("double").alias("unit_price"),
         F.concat(F.col("user_id").cast("string"), F.lit(".0")).alias("customer_id"),
         _country(F.col("user_id") % len(COUNTRIES)).alias("country"),
+        *extra,
     )
 
 
@@ -109,3 +111,20 @@ def order_messages(events: DataFrame) -> DataFrame:
     """Order events as JSON messages in ``value``."""
     fields = F.struct(*ORDER_EVENT.names)
     return events.select(F.to_json(fields, {"ignoreNullFields": "false"}).alias("value"))
+
+
+def damaged_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The messages of all order events, six of every ``DAMAGED_EVERY`` damaged in six ways."""
+    invoice = F.col("invoice_no")
+    kind = F.col("event_id") % DAMAGED_EVERY
+    whole = F.to_json(F.struct(*ORDER_EVENT.names), {"ignoreNullFields": "false"})
+    text = (
+        F.when(kind == 0, "")
+        .when(kind == 1, F.concat(F.lit("order "), invoice))
+        .when(kind == 2, F.concat(F.lit('{"order": "'), invoice, F.lit('"}')))
+        .when(kind == 3, F.concat(F.lit('{"invoice_no": "'), invoice))
+        .when(kind == 4, F.lit(None).cast("string"))
+        .when(kind == 5, F.concat(F.lit('{"invoice_no": "'), invoice, F.lit('", "quantity": "x"}')))
+        .otherwise(whole)
+    )
+    return order_events(spark, sf_dir, "event_id").select(text.alias("value"))

@@ -1,47 +1,39 @@
-"""Stored events and window metrics, both by date and micro-batch.
+"""Stored events, window metrics and their pieces, all by date and micro-batch.
 
 A batch writes only to its own ``date=/batch_id=`` folders, replacing what an earlier attempt
-of the same batch left there, so a retry changes nothing. Store, metrics and checkpoint
-belong together: batch numbers start again with a new checkpoint, which ``assert_same_run``
-therefore refuses for a store that has batches.
+of the same batch left there, so a retry changes nothing. Folders and checkpoint belong
+together, see ``identity``; closed days are merged into few files, see ``generations``.
 """
 
 from __future__ import annotations
 
+from functools import reduce
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
-
-from tillbook.operators.metrics import KEYS, in_windows, window_metrics
+from pyspark.sql import types as T
+
+from tillbook.operators.metrics import (
+    KEYS,
+    in_windows,
+    merge_pieces,
+    pieces_metrics,
+    window_metrics,
+    window_pieces,
+)
 from tillbook.schemas import (
+    METRIC_PIECES,
     METRIC_WINDOW_SECONDS,
     STORED_EVENT,
     STORED_METRICS,
     WINDOW_METRICS,
 )
 from tillbook.sinks.lake import write_partitions
+from tillbook.streaming.generations import UNDATED, merge_days, merged_rows, read_table
 
 ROWS_PER_FILE = 500_000
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
-
-
-def assert_same_run(spark: SparkSession, store: str, metrics: str, checkpoint: str) -> None:
-    """Refuse a new checkpoint for folders that another one's batches are in.
-
-    Its batch numbers would start at 0 again and replace what is stored under them.
-    """
-    for folder in (store, metrics):
-        if _exists(spark, folder) and not _exists(spark, f"{checkpoint}/offsets"):
-            raise ValueError(
-                f"{folder} has batches, but {checkpoint} is new: "
-                "go on with their checkpoint, or give new folders"
-            )
-
-
 def batch_days(batch: DataFrame) -> list[Row]:
     """``date, rows, first, last`` per day, in epoch seconds.
 
@@ -75,12 +67,14 @@ def append_events(
     """
     if days is None:
         days = batch_days(batch)
+    days = _unmerged(batch.sparkSession, store, batch_id, days)
     if not days:
         return
     rows = sum(day["rows"] for day in days)
     tasks = max(-(-rows // ROWS_PER_FILE), _day_tasks(batch, days))
     ranged = (
-        batch.withColumn("_place", F.monotonically_increasing_id())
+        _of_days(batch, days)
+        .withColumn("_place", F.monotonically_increasing_id())
         .repartitionByRange(tasks, "invoice_date", "_place")
         .drop("_place")
     )
@@ -90,24 +84,61 @@ def append_events(
     write_partitions(dated, store, "date", "batch_id")
 
 
+def _unmerged(spark: SparkSession, store: str, batch_id: int, days: list[Row]) -> list[Row]:
+    """The days of a batch that no generation holds it in already.
+
+    Spark doesn't run a committed batch again, and only those are merged. So a batch that is
+    merged comes again only after its checkpoint was put back; it must then be the same.
+    """
+    held = merged_rows(spark, store, STORED_EVENT, [d["date"] or UNDATED for d in days], batch_id)
+    for day in days:
+        rows = held.get(day["date"] or UNDATED, day["rows"])
+        if rows != day["rows"]:
+            raise ValueError(
+                f"batch {batch_id} has {day['rows']} events of {day['date']}, and {rows} where "
+                f"{store} has merged it: the checkpoint has been put back"
+            )
+    return [day for day in days if (day["date"] or UNDATED) not in held]
+
+
+def _of_days(batch: DataFrame, days: list[Row]) -> DataFrame:
+    """The events of a batch on the given days of it."""
+    day = F.to_date("invoice_date").cast("string")
+    dated = [d["date"] for d in days if d["date"] is not None]
+    undated = day.isNull() if len(dated) < len(days) else F.lit(False)
+    return batch.filter(day.isin(dated) | undated)
+
+
 def read_events(spark: SparkSession, store: str) -> DataFrame:
     """All stored events."""
-    return spark.read.schema(STORED_EVENT).parquet(store)
+    return read_table(spark, store, STORED_EVENT)
 
 
-def _read_days(spark: SparkSession, store: str, days: list[Row]) -> DataFrame:
-    """Stored events of the given days, from the first window of the batch to its last."""
-    folders = [f"{store}/date={day['date']}" for day in days]
-    events = spark.read.schema(STORED_EVENT).option("basePath", store).parquet(*folders)
+def _window_of(second: int, later: int = 0) -> Column:
+    start = second // METRIC_WINDOW_SECONDS + later
+    return F.timestamp_seconds(F.lit(start * METRIC_WINDOW_SECONDS))
 
-    def window_of(second: int, later: int = 0):
-        start = second // METRIC_WINDOW_SECONDS + later
-        return F.timestamp_seconds(F.lit(start * METRIC_WINDOW_SECONDS))
 
-    # Files hold narrow time spans, so these two bounds skip most of a day that grows.
-    moment = F.col("invoice_date")
-    first, last = min(day["first"] for day in days), max(day["last"] for day in days)
-    return events.filter((moment >= window_of(first)) & (moment < window_of(last, 1)))
+def _read_days(
+    spark: SparkSession, table: str, schema: T.StructType, moment: str, days: list[Row]
+) -> DataFrame:
+    """Rows of the given days, on each from the first window of the batch to its last."""
+    rows = read_table(spark, table, schema, [day["date"] for day in days])
+
+    def touched(day: Row) -> Column:
+        """Files hold narrow time spans, so these bounds skip most of a day that grows."""
+        since, until = _window_of(day["first"]), _window_of(day["last"], 1)
+        return (F.col(moment) >= since) & (F.col(moment) < until)
+
+    return rows.filter(reduce(Column.__or__, map(touched, days)))
+
+
+def _write_metrics(windows: DataFrame, batch_id: int, metrics: str, tasks: int) -> None:
+    dated = windows.withColumns(
+        {"date": F.to_date("window_start"), "batch_id": F.lit(batch_id).cast("long")}
+    )
+    # A day has at most 288 windows, so however the days fall to tasks, these are small.
+    write_partitions(dated.repartition(tasks, "date"), metrics, "date", "batch_id")
 
 
 def refresh_metrics(
@@ -123,17 +154,75 @@ def refresh_metrics(
     dated_days = [day for day in days if day["date"] is not None]
     if not dated_days:
         return
-    lines = _read_days(batch.sparkSession, store, dated_days)
+    lines = _read_days(batch.sparkSession, store, STORED_EVENT, "invoice_date", dated_days)
     columns = [f.name for f in STORED_EVENT if f.name not in ("date", "batch_id")]
     # At most 288 windows a day of the batch: small whatever the number of events.
     touched = F.broadcast(in_windows(batch).distinct())
     in_touched = in_windows(lines, *columns).join(touched, "window_start", "left_semi")
-    dated = window_metrics(in_touched.select(columns)).withColumns(
+    windows = window_metrics(in_touched.select(columns))
+    _write_metrics(windows, batch_id, metrics, _day_tasks(batch, dated_days))
+
+
+def append_pieces(
+    batch: DataFrame, batch_id: int, pieces: str, days: list[Row] | None = None
+) -> None:
+    """Write what a batch adds to the metrics of its windows, by date.
+
+    Distinct names of a window instead of events: a batch has at most three pieces for a line,
+    and far fewer where invoices and products repeat.
+    """
+    if days is None:
+        days = batch_days(batch)
+    dated_days = [day for day in days if day["date"] is not None]
+    if not dated_days:
+        return
+    rows = sum(day["rows"] for day in dated_days)
+    tasks = max(-(-rows // ROWS_PER_FILE), _day_tasks(batch, dated_days))
+    dated = window_pieces(batch).withColumns(
         {"date": F.to_date("window_start"), "batch_id": F.lit(batch_id).cast("long")}
     )
-    # A day has at most 288 windows, so however the days fall to tasks, these are small.
-    dated = dated.repartition(_day_tasks(batch, dated_days), "date")
-    write_partitions(dated, metrics, "date", "batch_id")
+    names = ("piece", "invoice_no", "stock_code", "country")
+    ranged = dated.repartitionByRange(tasks, "window_start", *names)
+    write_partitions(ranged.select(METRIC_PIECES.names), pieces, "date", "batch_id")
+
+
+def refresh_from_pieces(
+    batch: DataFrame, batch_id: int, pieces: str, metrics: str, days: list[Row] | None = None
+) -> None:
+    """Like ``refresh_metrics``, from the stored pieces of the touched windows.
+
+    Pieces of several batches are put together, so what is read grows with the distinct names
+    of the windows and the batches that touched them, and not with their events.
+    """
+    if days is None:
+        days = batch_days(batch)
+    dated_days = [day for day in days if day["date"] is not None]
+    if not dated_days:
+        return
+    stored = _read_days(batch.sparkSession, pieces, METRIC_PIECES, "window_start", dated_days)
+    touched = F.broadcast(in_windows(batch).distinct())
+    in_touched = stored.join(touched, "window_start", "left_semi")
+    windows = pieces_metrics(merge_pieces(in_touched))
+    _write_metrics(windows, batch_id, metrics, _day_tasks(batch, dated_days))
+
+
+def backfill_pieces(spark: SparkSession, store: str, pieces: str, committed: int) -> None:
+    """Pieces of all stored events up to batch ``committed``, for a stream that had none yet.
+
+    The stream must stand still, and go on with ``pieces`` after ``adopt_run``.
+    """
+    events = read_table(spark, store, STORED_EVENT).filter(F.col("batch_id") <= committed)
+    dated = window_pieces(events).withColumns(
+        {"date": F.to_date("window_start"), "batch_id": F.lit(committed).cast("long")}
+    )
+    names = ("window_start", "piece", "invoice_no", "stock_code", "country")
+    ranged = dated.repartitionByRange(*names)
+    write_partitions(ranged.select(METRIC_PIECES.names), pieces, "date", "batch_id")
+
+
+def read_piece_metrics(spark: SparkSession, pieces: str) -> DataFrame:
+    """The metrics of every window, put together from the pieces of all batches."""
+    return pieces_metrics(merge_pieces(read_table(spark, pieces, METRIC_PIECES)))
 
 
 def latest_metrics(stored: DataFrame) -> DataFrame:
@@ -154,4 +243,44 @@ def changed_metrics(stored: DataFrame, since: int) -> DataFrame:
 
 def read_metrics(spark: SparkSession, metrics: str) -> DataFrame:
     """The current metrics of every window."""
-    return latest_metrics(spark.read.schema(STORED_METRICS).parquet(metrics))
+    return latest_metrics(read_table(spark, metrics, STORED_METRICS))
+
+
+def _newest_metrics(stored: DataFrame) -> DataFrame:
+    """Stored metrics, only the last row of each window, with the batch that it is from."""
+    values = [f.name for f in STORED_METRICS if f.name not in KEYS]
+    newest = F.max_by(F.struct(*values), "batch_id").alias("newest")
+    return stored.groupBy(KEYS).agg(newest).select(*KEYS, "newest.*")
+
+
+def _merged_pieces(stored: DataFrame) -> DataFrame:
+    """Stored pieces put together, under the last batch of their window."""
+    last = stored.groupBy("window_start").agg(F.max("batch_id").alias("batch_id"))
+    merged = merge_pieces(stored).withColumn("date", F.to_date("window_start"))
+    return merged.join(last, "window_start")
+
+
+def merge_closed_days(
+    spark: SparkSession,
+    committed: int,
+    before: str,
+    store: str,
+    metrics: str | None = None,
+    pieces: str | None = None,
+) -> dict[str, list[str]]:
+    """Merge the days before ``before`` of all tables of a stream; the days merged by table.
+
+    ``committed`` is the stream's last finished batch, see ``committed_batch``; the stream may
+    go on meanwhile. Late events of a merged day are read beside its generation, and merged with
+    it the next time.
+    """
+    done = {store: merge_days(spark, store, STORED_EVENT, committed, before, "invoice_date")}
+    if metrics is not None:
+        done[metrics] = merge_days(
+            spark, metrics, STORED_METRICS, committed, before, "window_start", _newest_metrics
+        )
+    if pieces is not None:
+        done[pieces] = merge_days(
+            spark, pieces, METRIC_PIECES, committed, before, "window_start", _merged_pieces
+        )
+    return done
