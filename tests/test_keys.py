@@ -1,10 +1,12 @@
 from __future__ import annotations
 
+import pytest
+
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tillbook.operators import keys
-from tillbook.operators.keys import assign_dense_key
+from tillbook.operators.keys import assign_dense_key, continue_dense_key
 
 
 def with_row_number(df, order):
@@ -85,3 +87,42 @@ def test_known_row_count_sizes_the_sort(spark, monkeypatch):
     assert keyed.filter("key <> a + 3000").count() == 0
     _, sizes = partition_sizes(monkeypatch, df, ["a"], "key", rows=300, rows_per_partition=100)
     assert len(sizes) <= 4
+
+
+def customers(spark, *names):
+    return spark.createDataFrame([(n, f"about {n}") for n in names], "customer string, about string")
+
+
+def keys_of(df):
+    return {row["customer"]: row["key"] for row in df.collect()}
+
+
+def test_known_keys_go_on(spark):
+    none = spark.createDataFrame([], "customer string, about string, key int")
+    first = continue_dense_key(customers(spark, "m", "c", None), none, "customer", "key")
+    plain = assign_dense_key(customers(spark, "m", "c", None), ["customer"], "key")
+    assert keys_of(first) == keys_of(plain) == {None: 1, "c": 2, "m": 3}
+    # A customer that comes first in the order renumbers nobody, and one that is gone stays.
+    second = continue_dense_key(customers(spark, "a", "m", "z", None), first, "customer", "key")
+    assert keys_of(second) == {None: 1, "c": 2, "m": 3, "a": 4, "z": 5}
+    third = continue_dense_key(customers(spark, "c", "b"), second, "customer", "key")
+    assert keys_of(third) == {None: 1, "c": 2, "m": 3, "a": 4, "z": 5, "b": 6}
+    again = continue_dense_key(customers(spark, "c", "b"), third, "customer", "key")
+    assert sorted(map(str, again.collect())) == sorted(map(str, third.collect()))
+    assert dict(third.dtypes)["key"] == "int"
+
+
+def test_keys_are_never_given_twice(spark):
+    known = spark.createDataFrame([("a", "", 7), ("b", "", 3)], "customer string, about string, key int")
+    found = keys_of(continue_dense_key(customers(spark, "d", "c"), known, "customer", "key"))
+    assert found == {"a": 7, "b": 3, "c": 8, "d": 9}
+
+
+def test_repeated_known_rows_are_an_error(spark):
+    schema = "customer string, about string, key int"
+    same_key = spark.createDataFrame([("a", "", 1), ("b", "", 1)], schema)
+    with pytest.raises(ValueError, match="repeated"):
+        continue_dense_key(customers(spark, "a"), same_key, "customer", "key")
+    same_name = spark.createDataFrame([("a", "", 1), ("a", "", 2)], schema)
+    with pytest.raises(Exception, match="more than one row for a"):
+        continue_dense_key(customers(spark, "a", "b"), same_name, "customer", "key").collect()
