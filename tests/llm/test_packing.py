@@ -5,6 +5,7 @@ import zlib
 from array import array
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from cases import documents, frame
 from tokenizers import Tokenizer
@@ -40,6 +41,19 @@ def test_forgetting_and_parts_change_nothing(known, monkeypatch):
     assert known.of(text) == ids
 
 
+def test_words_looked_up_together(known, monkeypatch):
+    r = random.Random(4)
+    texts = ["", " ", "\n\n", "one", "one two " * 40, *(t or "" for _, t in documents()[:60])]
+    texts += [" ".join(r.choice(["Über,", "foo", "bar!!", "日本", "x"]) for _ in range(30)) for _ in range(50)]
+    want = [known.of(text) for text in texts]
+    for block, generation in ((1 << 23, 300_000), (200, 5), (1, 1)):
+        monkeypatch.setattr(packing, "BLOCK_CHARS", block)
+        monkeypatch.setattr(packing, "KNOWN_WORDS", generation)
+        assert list(known.of_texts(pa.array(texts))) == want
+    assert list(known.of_texts(pa.array(["left out", *texts]).slice(1))) == want
+    assert list(known.of_texts(pa.array([], pa.string()))) == []
+
+
 def test_pieces_and_sequences(spark):
     docs = documents()
     rows = packing.op6(frame(spark, docs)).collect()

@@ -12,6 +12,7 @@ Null and empty texts are the end token alone. Repeated rows and null ids are pac
 
 from __future__ import annotations
 
+import string
 import unicodedata
 import zlib
 from array import array
@@ -19,8 +20,8 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,9 +32,11 @@ from tillbook.staging import stage
 CAPACITY = 2048
 END_TOKEN = 0
 SHARD_PIECES = 200_000
-# Words that a task remembers the tokens of, and the longest that it does.
-KNOWN_WORDS = 600_000
+# Words of a generation that a task remembers the tokens of, and the longest that it does.
+KNOWN_WORDS = 250_000
 KNOWN_CHARS = 40
+# Texts whose words are looked up together have about so many characters.
+BLOCK_CHARS = 1 << 22
 # A tokenizer's file is sent to the tasks, up to this size.
 MAX_TOKENIZER_BYTES = 64 << 20
 # Long texts are tokenized in parts of about so many characters, cut at spaces.
@@ -41,6 +44,8 @@ PART_CHARS = 1 << 20
 
 # The pre-tokenizer's pattern in the tokenizer file, which the short way relies on.
 _PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+# Words of these signs only, which have one way to be written and known small letters.
+_SIMPLE = "^[!-~¡-ÿ]*$"
 # Characters below this one are letters and signs that composition leaves as they are.
 _FIRST_OTHER = "ɐ"
 
@@ -53,7 +58,10 @@ def _byte_letters() -> dict[int, str]:
 
 
 class WordTokens(dict):
-    """Token ids of a space-separated word as little-endian bytes, each word looked up once.
+    """Token ids of a space-separated word as little-endian bytes.
+
+    The words of two generations are remembered. When the younger is full it becomes the older,
+    and a word that is met again goes to the younger, so frequent words stay.
 
     The tokenizer drops white space and lets no token cross it, so a text's ids are those of its
     words in order. Words of plain letters and signs go straight to the tokenizer's model, which
@@ -62,6 +70,7 @@ class WordTokens(dict):
 
     def __init__(self, tokenizer_json: str):
         super().__init__()
+        self.older: dict[str, bytes] = {}
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
         self.tokenize = self.tokenizer.model.tokenize
         self.pattern = regex.compile(_PATTERN)
@@ -69,8 +78,13 @@ class WordTokens(dict):
         self.plain = '"Lowercase"' in tokenizer_json and "'s|'t|'re|'ve|'m|'ll|'d|" in tokenizer_json
 
     def __missing__(self, word: str) -> bytes:
-        ids = self._ids(word)
+        ids = self.older.get(word)
+        if ids is None:
+            ids = self._ids(word)
         if len(word) <= KNOWN_CHARS:
+            if len(self) >= KNOWN_WORDS:
+                self.older = dict(self)
+                self.clear()
             self[word] = ids
         return ids
 
@@ -106,13 +120,64 @@ class WordTokens(dict):
         return array("I", [token.id for token in self.tokenize(part)]).tobytes()
 
     def of(self, text: str) -> bytes:
-        if len(self) > KNOWN_WORDS:
-            self.clear()
         return b"".join(
             b"".join(map(self.__getitem__, part.replace("\n", " ").split(" ")))
             for part in _parts(text)
         )
 
+    def of_texts(self, texts: pa.Array) -> Iterator[bytes]:
+        """``of`` for each text; every distinct word of a block of texts is looked up once."""
+        chars = pc.utf8_length(texts).to_numpy(zero_copy_only=False)
+        start = 0
+        while start < len(texts):
+            size, end = 0, start
+            while end < len(texts) and (end == start or size + chars[end] <= BLOCK_CHARS):
+                size += chars[end]
+                end += 1
+            if size > BLOCK_CHARS:
+                yield self.of(texts[start].as_py())
+            else:
+                yield from self._of_block(texts.slice(start, end - start))
+            start = end
+
+    def _of_block(self, texts: pa.Array) -> Iterator[bytes]:
+        words = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
+        coded = words.flatten().dictionary_encode()
+        ids = self._of_words(coded.dictionary)
+        places = coded.indices.to_numpy()
+        ends = np.cumsum(pc.list_value_length(words).to_numpy(zero_copy_only=False)).tolist()
+        for a, b in zip([0, *ends], ends, strict=False):
+            yield b"".join(ids[places[a:b]].tolist())
+
+    def _of_words(self, words: pa.Array) -> np.ndarray:
+        """Token ids of distinct words. Those of simple signs are put in small letters together;
+        of them, only words of letters and the parts of others are remembered.
+        """
+        ids = np.empty(len(words), object)
+        simple = pc.and_(
+            pc.match_substring_regex(words, _SIMPLE), pc.invert(pc.match_substring(words, "<|"))
+        )
+        if not self.plain:
+            simple = pc.and_(simple, False)
+        small = pc.utf8_lower(words)
+        letters = pc.and_(simple, pc.utf8_is_alpha(small))
+        for chosen, texts, look_up in (
+            (letters, small, self.__getitem__),
+            (pc.and_not(simple, letters), small, self._of_signs),
+            (pc.invert(simple), words, self.__getitem__),
+        ):
+            held = texts.filter(chosen).to_numpy(zero_copy_only=False)
+            mask = chosen.to_numpy(zero_copy_only=False)
+            ids[mask] = np.fromiter(map(look_up, held), object, len(held))
+        return ids
+
+    def _of_signs(self, word: str) -> bytes:
+        """A word of small letters, digits and signs, by its parts."""
+        letters = word.rstrip(string.punctuation)
+        if letters.isalpha():
+            return self[letters] + self[word[len(letters) :]]
+        return b"".join(map(self.__getitem__, self.pattern.findall(word)))
+
 
 def _parts(text: str) -> Iterator[str]:
     start = 0
@@ -143,15 +208,15 @@ def cut(ids: bytes, capacity: int) -> list[tuple[int, int]]:
 def _pieces(text: Column, broadcast, capacity: int) -> Column:
     end = array("I", [END_TOKEN]).tobytes()
 
-    @F.pandas_udf("array<struct<length: bigint, ids_crc32: bigint>>")
-    def pieces(texts: pd.Series) -> pd.Series:
-        known = _known_words(broadcast.value)
-        return pd.Series(
-            [
-                [{"length": n, "ids_crc32": c} for n, c in cut(known.of(t or "") + end, capacity)]
-                for t in texts
-            ]
-        )
+    @F.arrow_udf("array<struct<length: bigint, ids_crc32: bigint>>")
+    def pieces(texts: pa.Array) -> pa.Array:
+        ids = _known_words(broadcast.value).of_texts(pc.fill_null(texts, ""))
+        cuts = [cut(known + end, capacity) for known in ids]
+        flat = [piece for pieces_of_one in cuts for piece in pieces_of_one]
+        offsets = np.cumsum([0, *map(len, cuts)], dtype=np.int32)
+        lengths, crcs = (pa.array([piece[i] for piece in flat], pa.int64()) for i in (0, 1))
+        parts = pa.StructArray.from_arrays([lengths, crcs], ["length", "ids_crc32"])
+        return pa.ListArray.from_arrays(pa.array(offsets), parts)
 
     return pieces(text)
 
