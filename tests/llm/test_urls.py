@@ -1,7 +1,6 @@
 from __future__ import annotations
 
 import itertools
-import math
 import random
 import re
 from collections import Counter
@@ -93,11 +92,12 @@ def test_mined_rules_against_sql(spark):
 def test_index_finds_every_rule(spark):
     pages, labels = planted(2)
     page_frame, label_frame = tables(spark, pages, labels)
-    rules = urls.mine_rules(urls.label_pages(page_frame, label_frame))
-    found = {r.url for r in urls.matched(page_frame, rules).collect()}
-    items = [set(r["items"]) for r in rules.collect()]
+    mined = urls.mine_rules(urls.label_pages(page_frame, label_frame))
+    found = {r.url for r in urls.matched(page_frame, mined).collect()}
+    items = [set(r["items"]) for r in mined.rules.collect()]
+    names = {r["token"]: r["item"] for r in mined.names.collect()}
     own = page_frame.select("url", urls.tokens(F.col("url")).alias("t")).collect()
-    assert items and found == {r.url for r in own if any(i <= set(r.t) for i in items)}
+    assert items and found == {r.url for r in own if any(i <= {names.get(t) for t in r.t} for i in items)}
 
 
 def test_labels_by_the_number_that_ends_the_path(spark):
@@ -119,10 +119,10 @@ def test_rules_of_urls_with_numbers_in_the_query(spark):
 
 def least_rules(labelled):
     """Token sets without a smaller rule, by brute force over ``[(tokens, bad)]``."""
-    need = math.ceil(max(urls.MIN_SUPPORT, urls.MIN_PAGES / len(labelled)) * len(labelled))
+    need = urls.MIN_PAGES
     counts = Counter()
     for own, bad in labelled:
-        for size in range(1, len(own) + 1):
+        for size in range(1, urls.MAX_ITEMS + 1):
             for items in itertools.combinations(sorted(own), size):
                 counts[items, bad] += 1
     rules = {
@@ -132,7 +132,7 @@ def least_rules(labelled):
     return {i for i in rules if not any(other < i for other in rules)}
 
 
-def test_rules_by_brute_force(spark):
+def test_rules_by_brute_force(spark, monkeypatch):
     r = random.Random(5)
     labelled = []
     for _ in range(400):
@@ -142,9 +142,54 @@ def test_rules_by_brute_force(spark):
         labelled.append((f"http://h/?{'&'.join(keys)}", bad))
     frame = spark.createDataFrame(labelled, "url string, bad boolean").repartition(3)
     own = [({"host:h", *(f"query:{k}" for k in u.split("?")[1].split("&") if k)}, bad) for u, bad in labelled]
-    got = [frozenset(x["items"]) for x in urls.mine_rules(frame).collect()]
     want = least_rules(own)
-    assert max(map(len, want)) > 2 and len(got) == len(set(got)) and set(got) == want
+    assert max(map(len, want)) > 2
+    # Wide baskets are mined in groups of their tokens, with the same rules.
+    for wide in (15, 5):
+        monkeypatch.setattr(urls, "WIDE", wide)
+        got = [frozenset(x["items"]) for x in urls.mine_rules(frame).rules.collect()]
+        assert len(got) == len(set(got))
+        assert {g for g in got if not any(other < g for other in got)} == want
+
+
+def test_tokens_on_the_same_pages_stand_for_each_other(spark):
+    def url(i):
+        twins = "&t1&t2" if i % 2 else ""
+        return f"http://h/?k{twins}{'&x' if i % 3 else ''}"
+
+    rows = [(url(i), bool(i % 2 and i % 3)) for i in range(60)]
+    mined = urls.mine_rules(spark.createDataFrame(rows, "url string, bad boolean"))
+    rules = [set(r["items"]) for r in mined.rules.collect()]
+    names = {r["token"]: r["item"] for r in mined.names.collect()}
+    assert names["query:t2"] == "query:t1" and rules == [{"query:t1"}] or {"query:t1", "query:x"} in rules
+    asked = ["http://o/?t2&x", "http://o/?t1&x", "http://o/?x", "http://o/?k"]
+    table = spark.createDataFrame([(u,) for u in asked], "url string")
+    assert {r.url for r in urls.matched(table, mined).collect()} == set(asked[:2])
+
+
+def test_support_is_the_same_at_every_size(spark):
+    def found(n_good):
+        rows = [(f"http://spam/{i}?bad", True) for i in range(urls.MIN_PAGES)]
+        rows += [(f"http://fine{i % 50}/{i}", False) for i in range(n_good)]
+        frame = spark.createDataFrame(rows, "url string, bad boolean")
+        return {tuple(r["items"]) for r in urls.mine_rules(frame).rules.collect()}
+
+    assert found(30) == found(30_000) and ("host:spam",) in found(30)
+
+
+def test_many_independent_tokens(spark):
+    """Thirty tokens, each on half of the pages: FP-growth alone would list millions of sets."""
+    r = random.Random(8)
+    rows = []
+    for _ in range(300):
+        keys = [f"k{j:02}" for j in range(30) if r.random() < 0.5]
+        rows.append((f"http://h/?{'&'.join(keys)}", {"k03", "k17", "k21"} <= set(keys) or r.random() < 0.05))
+    frame = spark.createDataFrame(rows, "url string, bad boolean").repartition(4)
+    own = [({"host:h", *(f"query:{k}" for k in u.split("?")[1].split("&") if k)}, bad) for u, bad in rows]
+    got = {frozenset(x["items"]) for x in urls.mine_rules(frame).rules.collect()}
+    want = least_rules(own)
+    assert frozenset({"query:k03", "query:k17", "query:k21"}) in want
+    assert {g for g in got if not any(other < g for other in got)} == want
 
 
 def test_all_tokens_of_a_page_are_mined(spark):
@@ -158,7 +203,7 @@ def test_all_tokens_of_a_page_are_mined(spark):
     labels = [(i, 1 - (i % 2 if i < 40 else i < 200), 0) for i, _, _ in pages]
     page_frame, label_frame = tables(spark, pages, labels)
     rules = urls.mine_rules(urls.label_pages(page_frame, label_frame))
-    assert {frozenset(r["items"]) for r in rules.collect()} == {frozenset({"path:zz"})}
+    assert {frozenset(r["items"]) for r in rules.rules.collect()} == {frozenset({"path:zz"})}
     got = {r.page_id: r.verdict for r in urls.op9(page_frame, label_frame).collect()}
     assert got == {i: "block" if i < 40 and i % 2 else "allow" for i, _, _ in pages}
 
@@ -168,7 +213,7 @@ def test_long_frequent_urls_end_at_pairs(spark):
         return f"https://h.com/{i}?" + "&".join(f"q{j:03}" for j in range(10 + i % 50))
 
     frame = spark.createDataFrame([(url(i), i % 3 == 0) for i in range(600)], "url string, bad boolean")
-    assert urls.mine_rules(frame).collect() == []
+    assert urls.mine_rules(frame).rules.collect() == []
 
 
 def test_without_labels_or_pages(spark):

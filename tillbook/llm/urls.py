@@ -1,37 +1,43 @@
 """URL filters: fixed host and path rules, and association rules mined from labelled pages.
 
-Combinations of URL tokens that come with a bad label are mined size by size. Rules of enough
-support and confidence match by an inverted index: each is listed under its rarest token, joined
-to the distinct URLs that have that token, and holds if the URL has all its tokens. Everything is
-built-in expressions; a URL that very many pages share is judged once.
-
-Mining takes every labelled page and all its tokens. FP-growth would list 2 to the number of its
-tokens combinations of a long frequent URL. So pages with the same tokens are counted together, and
-a combination only grows while it has the bad pages that a rule needs, is no rule itself (with more
-tokens it matches nothing more), and is on fewer pages than each of its parts (else a part does the
-same in any rule). None of this loses a match; tokens that come together, or along one path, end
-at pairs. Tokens that are frequent in many independent combinations still make that many. Small or missing label tables give no rules, and pages without a fixed
-rule are then allowed. Null URLs, and those without ``://``, have an empty host and path, no fixed
-rule and no tokens. Repeated pages are judged like others.
+A mined rule is at most ``MAX_ITEMS`` URL tokens; it blocks the URLs that have them all. It needs
+``MIN_PAGES`` bad labelled pages, however many pages there are, and a share of ``MIN_CONFIDENCE``
+of bad ones among its labelled pages. Spark's FP-growth finds the token combinations that are
+frequent on bad pages, and those are counted again on all labelled pages. Rules match by an
+inverted index: each is listed under its rarest token, joined to the distinct URLs that have it,
+and holds if the URL has all its tokens. Everything is built-in expressions and Spark's own miner;
+a URL that very many pages share is judged once.
+
+FP-growth lists 2 to the number of a basket's tokens combinations, so baskets are made small first,
+which loses no rule. Left out are tokens on too few bad pages, tokens that are a rule alone (with
+more tokens they match nothing more), and tokens on every page. Tokens on the very same labelled
+pages are mined as one and stand for each other in a match. What is still wide is dealt to groups
+of tokens, and each ``MAX_ITEMS`` groups of a basket are mined as a basket of their own: every
+combination that a rule may be is in one of them, and counting on whole pages follows.
+
+Small or missing label tables give no rules, and pages without a fixed rule are then allowed. Null
+URLs, and those without ``://``, have an empty host and path, no fixed rule and no tokens. Repeated
+pages are judged like others.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
+from itertools import combinations
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame
+from pyspark.ml.fpm import FPGrowth
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tillbook.staging import stage
 
 BLOCK, ALLOW = "block", "allow"
-MIN_SUPPORT = 0.002
 MIN_PAGES = 10
 MIN_CONFIDENCE = 0.6
-# Of OP9_SQL only, which mines no further tokens of a page.
-MINED_TOKENS = 10
+MAX_ITEMS = 3
+# Baskets of more tokens are mined in groups of their tokens, of about so many together.
+WIDE = 15
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -112,124 +118,144 @@ def tokens(url: Column) -> Column:
     return F.coalesce(known, F.array().cast("array<string>"))
 
 
-def mine_rules(labelled: DataFrame) -> DataFrame:
-    """``items, anchor`` of the least rules whose URLs are bad. ``labelled`` has ``url, bad``.
+class Mined(NamedTuple):
+    """Rules as ``items, anchor``, and ``token, item``: which tokens stand for an item of a rule."""
 
-    A rule that holds all items of another one is left out; it matches nothing more. ``anchor`` is
-    the rarest item of a rule among labelled pages.
+    rules: DataFrame
+    names: DataFrame
+
+
+def mine_rules(labelled: DataFrame) -> Mined:
+    """The rules whose URLs are bad. ``labelled`` has ``url, bad``.
+
+    A rule that holds all items of another one may be left out; it matches nothing more. An
+    ``anchor`` is the rarest item of a rule among labelled pages.
     """
     baskets = stage(
         labelled.filter("bad IS NOT NULL")
-        .select(tokens(F.col("url")).alias("items"), F.col("bad").cast("long").alias("bad"))
-        .groupBy("items")
+        .select(tokens(F.col("url")).alias("tokens"), F.col("bad").cast("long").alias("bad"))
+        .groupBy("tokens")
         .agg(F.count(F.lit(1)).alias("n"), F.sum("bad").alias("bad")),
         "baskets",
     )
-    n = baskets.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    if n < MIN_PAGES:
-        return baskets.filter("false").select("items", F.lit("").alias("anchor"))
-    # The bad pages that a rule needs, and so each of its items.
-    least = math.ceil(max(MIN_SUPPORT, MIN_PAGES / n) * n)
-    is_rule = F.col("bad") / F.col("n") >= MIN_CONFIDENCE
-    single = stage(
-        baskets.select(F.explode("items").alias("item"), "n", "bad")
-        .groupBy("item")
-        .agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
-        .filter(F.col("bad") >= least),
-        "items",
+    names = stage(_named_items(baskets), "items")
+    single = names.filter("token = item")
+    alone = single.filter("is_rule").select(F.array("item").alias("items"), F.col("item").alias("anchor"))
+    pages = stage(_item_baskets(baskets, names.filter("NOT is_rule AND NOT everywhere")), "pages")
+    several = _counted(_frequent(pages), pages, single)
+    rules = stage(alone.unionByName(several), "rules")
+    return Mined(rules, names.select("token", "item"))
+
+
+def _is_rule() -> Column:
+    bad = F.col("bad")
+    return (bad >= MIN_PAGES) & (bad >= MIN_CONFIDENCE * F.col("n"))
+
+
+def _named_items(baskets: DataFrame) -> DataFrame:
+    """``token, item, n, bad, is_rule, everywhere`` of the tokens on enough bad pages.
+
+    Tokens on the same baskets have the same ``item``, the first of them. Baskets are told apart
+    by sums of two 64-bit hashes of each.
+    """
+    hashes = [F.xxhash64("tokens", F.lit(i)).cast("decimal(38,0)").alias(f"h{i}") for i in (0, 1)]
+    single = (
+        baskets.select(F.explode("tokens").alias("token"), "n", "bad", *hashes)
+        .groupBy("token")
+        .agg(*(F.sum(c).alias(c) for c in ("n", "bad", "h0", "h1")))
+        .filter(F.col("bad") >= MIN_PAGES)
     )
-    rules = single.filter(is_rule).select(F.array("item").alias("items"))
-    open_items = single.filter(~is_rule & (F.col("n") < n))
-    grown = open_items.select(F.array("item").alias("items"), "n")
-    fronts = _open_baskets(baskets, open_items)
-    size = 1
-    # A larger combination needs all its parts; so many parts are there at least.
-    while grown.limit(size + 1).count() > size:
-        size += 1
-        fronts = stage(_extended(fronts), "combinations")
-        counted = stage(
-            fronts.groupBy("items")
-            .agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
-            .filter(F.col("bad") >= least),
-            "counts",
-        )
-        sound = stage(_sound(counted, grown, size), "sound")
-        rules = rules.union(sound.filter(is_rule).select("items"))
-        grown = sound.filter(~is_rule).select("items", "n")
-        fronts = fronts.join(grown.select("items"), "items", "left_semi")
-    ranked = (
-        rules.select("items", F.explode("items").alias("item"))
-        .join(single.select("item", "n"), "item")
-        .groupBy("items")
-        .agg(F.min(F.struct("n", "item")).alias("rarest"))
-        .select("items", F.col("rarest.item").alias("anchor"))
+    total = baskets.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("total"))
+    same = Window.partitionBy("n", "bad", "h0", "h1")
+    return single.crossJoin(F.broadcast(total)).select(
+        "token",
+        F.min("token").over(same).alias("item"),
+        "n",
+        "bad",
+        _is_rule().alias("is_rule"),
+        (F.col("n") == F.col("total")).alias("everywhere"),
     )
-    return stage(ranked, "rules")
 
 
-def _open_baskets(baskets: DataFrame, items: DataFrame) -> DataFrame:
-    """Baskets of ``items`` only, as ``items`` (none yet), ``rest`` in order, ``n, bad``."""
-    kept = (
-        baskets.withColumn("basket", F.xxhash64("items"))
-        .select("basket", "items", "n", "bad", F.explode("items").alias("item"))
-        .join(items.select("item"), "item")
-        .groupBy("basket", "items")
+def _item_baskets(baskets: DataFrame, names: DataFrame) -> DataFrame:
+    """``items, n, bad``: what baskets have of the named items, equal ones together."""
+    return (
+        baskets.select(F.xxhash64("tokens").alias("h"), "n", "bad", F.explode("tokens").alias("token"))
+        .join(names.select("token", "item"), "token")
+        .groupBy("h")
         .agg(
-            F.array_sort(F.collect_list("item")).alias("rest"),
+            F.array_sort(F.collect_set("item")).alias("items"),
             F.first("n").alias("n"),
             F.first("bad").alias("bad"),
         )
-    )
-    merged = kept.groupBy("rest").agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
-    pairs = merged.filter(F.size("rest") > 1)
-    first = pairs.select("rest", "n", "bad", F.array().cast("array<string>").alias("items"))
-    return _extended(first)
-
-
-def _extended(fronts: DataFrame) -> DataFrame:
-    """Each combination with each later item of its basket."""
-    each = fronts.select("items", "rest", "n", "bad", F.posexplode("rest").alias("i", "item"))
-    return each.select(
-        F.concat("items", F.array("item")).alias("items"),
-        F.expr("slice(rest, i + 2, size(rest))").alias("rest"),
-        "n",
-        "bad",
+        .groupBy("items")
+        .agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
     )
 
 
-def _sound(counted: DataFrame, grown: DataFrame, size: int) -> DataFrame:
-    """Combinations whose parts, one item shorter, are all in ``grown`` and on more pages.
+def _narrow(pages: DataFrame, widest: int) -> DataFrame:
+    """Baskets of about ``WIDE`` items at most, in one of which each small combination is."""
+    n_groups = -(-MAX_ITEMS * widest // WIDE)
+    chosen = [list(c) for c in combinations(range(n_groups), MAX_ITEMS)]
 
-    On the same pages, a part does in any rule what the combination does.
-    """
-    parts = counted.select(
-        F.col("items").alias("whole"),
-        F.col("n").alias("n_whole"),
-        "bad",
-        F.explode(
-            F.transform("items", lambda x: F.filter("items", lambda y: y != x))
-        ).alias("items"),
+    def of_groups(groups: list[int]) -> Column:
+        return F.filter("items", lambda item: F.pmod(F.xxhash64(item), F.lit(n_groups)).isin(groups))
+
+    return pages.select(F.explode(F.array(*map(of_groups, chosen))).alias("items"), "bad")
+
+
+def _frequent(pages: DataFrame) -> DataFrame:
+    """``items``, sorted, of two to ``MAX_ITEMS`` that may be on ``MIN_PAGES`` bad pages."""
+    bad = pages.filter((F.col("bad") > 0) & (F.size("items") > 1))
+    widest = bad.agg(F.max(F.size("items"))).first()[0] or 0
+    if widest > WIDE:
+        bad = _narrow(bad, widest).filter(F.size("items") > 1)
+    # A basket counts as often as it has bad pages; more than are needed make no difference.
+    times = F.sequence(F.lit(1), F.least("bad", F.lit(MIN_PAGES)))
+    rows = stage(bad.select("items", F.explode(times).alias("copy")).select("items"), "bad-pages")
+    n = rows.count()
+    if n < MIN_PAGES:
+        return rows.filter("false")
+    # FP-growth rounds the support that it needs up to whole pages.
+    miner = FPGrowth(itemsCol="items", minSupport=(MIN_PAGES - 0.5) / n, minConfidence=1.0)
+    found = miner.fit(rows).freqItemsets
+    return (
+        found.filter(F.size("items").between(2, MAX_ITEMS))
+        .select(F.array_sort("items").alias("items"))
+        .distinct()
     )
+
+
+def _counted(candidates: DataFrame, pages: DataFrame, single: DataFrame) -> DataFrame:
+    """The rules among combinations of items, counted on all labelled pages."""
+    anchored = stage(
+        candidates.select("items", F.explode("items").alias("item"))
+        .join(single.select("item", "n"), "item")
+        .groupBy("items")
+        .agg(F.min(F.struct("n", "item")).alias("rarest"))
+        .select("items", F.col("rarest.item").alias("anchor")),
+        "candidates",
+    )
+    postings = pages.select(F.explode("items").alias("anchor"), F.col("items").alias("page"), "n", "bad")
     return (
-        parts.join(grown, "items")
-        .groupBy(F.col("whole").alias("items"))
-        .agg(
-            F.first("n_whole").alias("n"),
-            F.first("bad").alias("bad"),
-            F.count(F.lit(1)).alias("parts"),
-            F.min(F.col("n") - F.col("n_whole")).alias("more"),
-        )
-        .filter((F.col("parts") == size) & (F.col("more") > 0))
-        .select("items", "n", "bad")
+        anchored.join(postings, "anchor")
+        .filter(F.size(F.array_except("items", "page")) == 0)
+        .groupBy("items", "anchor")
+        .agg(F.sum("n").alias("n"), F.sum("bad").alias("bad"))
+        .filter(_is_rule())
+        .select("items", "anchor")
     )
 
 
-def matched(urls: DataFrame, rules: DataFrame) -> DataFrame:
+def matched(urls: DataFrame, mined: Mined) -> DataFrame:
     """The distinct ``url`` of ``urls`` that some rule holds for."""
-    own = urls.select("url").distinct().select("url", tokens(F.col("url")).alias("tokens"))
-    postings = own.select("url", "tokens", F.explode("tokens").alias("anchor"))
-    holds = F.size(F.array_except("items", "tokens")) == 0
-    return postings.join(rules, "anchor").filter(holds).select("url").distinct()
+    needed = mined.rules.select(F.explode("items").alias("item")).distinct()
+    names = mined.names.join(needed, "item")
+    own = urls.select("url").distinct().select("url", F.explode(tokens(F.col("url"))).alias("token"))
+    held = own.join(names, "token").groupBy("url").agg(F.collect_set("item").alias("held"))
+    postings = held.select("url", "held", F.explode("held").alias("anchor"))
+    holds = F.size(F.array_except("items", "held")) == 0
+    return postings.join(mined.rules, "anchor").filter(holds).select("url").distinct()
 
 
 def judge(pages: DataFrame, labelled: DataFrame, rules: Sequence[Rule] = RULES) -> DataFrame:
@@ -284,9 +310,7 @@ def _sql_case(column: str) -> str:
     return f"CASE {whens} END"
 
 
-# Mining by brute force: every combination of a labelled page's tokens, by bits of a number.
-# Of a page's tokens it mines the first MINED_TOKENS, and it looks for the document's number in the
-# whole url; ``op9`` has neither limit, and equals it where pages don't meet them.
+# Mining by brute force: every combination of up to MAX_ITEMS tokens of a labelled page.
 OP9_SQL = f"""
 WITH placed AS (
   SELECT page_id, url,
@@ -308,15 +332,21 @@ WITH placed AS (
 ), known AS (
   SELECT doc_id, bool_or(quality = 0 OR coalesce(toxic, 0) = 1) AS bad FROM labels GROUP BY doc_id
 ), baskets AS (
-  SELECT row_number() OVER () AS r, list_slice(t, 1, {MINED_TOKENS}) AS t, bad
-  FROM (SELECT t, try_cast(regexp_extract(url, '/([0-9]+)[^/0-9]*$', 1) AS BIGINT) AS d FROM tokens) JOIN known ON d = doc_id WHERE bad IS NOT NULL
+  SELECT row_number() OVER () AS r, t, bad
+  FROM (SELECT t, try_cast(regexp_extract(path, '/([0-9]+)[^/0-9]*/*$', 1) AS BIGINT) AS d FROM tokens)
+  JOIN known ON d = doc_id WHERE bad IS NOT NULL
+), items AS (
+  SELECT r, bad, unnest(t) AS item FROM baskets
 ), combinations AS (
-  SELECT list_filter(t, lambda x, i: ((c >> (i - 1)) & 1) = 1) AS items, bad
-  FROM (SELECT t, bad, unnest(generate_series(1, (1 << len(t)) - 1)) AS c FROM baskets)
+  SELECT [item] AS items, bad FROM items
+  UNION ALL
+  SELECT [a.item, b.item], a.bad FROM items a JOIN items b ON a.r = b.r AND a.item < b.item
+  UNION ALL
+  SELECT [a.item, b.item, c.item], a.bad FROM items a JOIN items b ON a.r = b.r AND a.item < b.item
+    JOIN items c ON b.r = c.r AND b.item < c.item
 ), rules AS (
   SELECT items FROM combinations GROUP BY items
-  HAVING count(*) FILTER (bad) >= ceil(greatest({MIN_SUPPORT}, {MIN_PAGES} / (SELECT count(*) FROM baskets)) * (SELECT count(*) FROM baskets))
-    AND count(*) FILTER (bad) >= {MIN_CONFIDENCE} * count(*)
+  HAVING count(*) FILTER (bad) >= {MIN_PAGES} AND count(*) FILTER (bad) >= {MIN_CONFIDENCE} * count(*)
 ), bad AS (
   SELECT DISTINCT url AS bad_url FROM tokens JOIN rules ON list_has_all(t, items)
 )
