@@ -50,28 +50,48 @@ _NEEDED = {
 }
 _BYTE = r"0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]{1,2})"
 
-# Candidates of the added kinds. Their order settles which one a span is.
-CANDIDATES = {
-    "iban": r"[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}(?![A-Za-z0-9])",
-    "ssn": r"[0-9]{3}-[0-9]{2}-[0-9]{4}(?![A-Za-z0-9-])",
-    "secret": r"(?=[A-Za-z]*+[0-9])(?=[0-9]*+[A-Za-z])[A-Za-z0-9_]{20,}+",
-    "person": r"[A-Z][a-z]{1,20}\x20[A-Z][a-z]{1,20}(?![A-Za-z0-9])",
-}
-CANDIDATE = r"(?<![A-Za-z0-9_.+-])(?:" + "|".join(CANDIDATES.values()) + ")"
-CONTEXT_CHARS = 24
-
-# Common given names, words that start a sentence rather than a name, and words
-# that announce personal data.
+# Common given names, words that start a sentence or a title rather than a name, and
+# words that announce personal data.
 GIVEN_NAMES = (
     "Anna Maria Peter Paul Thomas Michael John James Robert David William Richard Joseph Charles "
     "Mary Patricia Jennifer Linda Elizabeth Barbara Susan Jessica Sarah Karen Hans Klaus Wolfgang "
-    "Jean Pierre Michel Marie Sophie Jose Juan Carlos Luis Carmen Lucia Elena"
+    "Jean Pierre Michel Marie Sophie Jose Juan Carlos Luis Carmen Lucia Elena José María Lucía "
+    "Christopher Daniel Matthew Anthony Steven Andrew Kenneth George Edward Brian Kevin Nancy Lisa "
+    "Margaret Sandra Ashley Emily Donna Michelle Carol Amanda Melissa Deborah Stephanie Rebecca "
+    "Jürgen Günter Stefan Andreas Martin Christian Matthias Sabine Petra Monika Ursula Claudia "
+    "Katrin Heike Jörg Björn François Jacques Philippe Nicolas Laurent Christophe Nathalie "
+    "Isabelle Catherine Françoise Sylvie Véronique Céline Élodie Hélène André René Miguel Antonio "
+    "Francisco Manuel Javier Fernando Sergio Alejandro Rafael Pilar Dolores Teresa Cristina Marta "
+    "Isabel Rosario Ángel Andrés Jesús Sofía"
 ).split()
 SENTENCE_WORDS = (
     "The Of And To In A Is That For It On Was As With Be By Are This At An From "
     "Der Die Das Und Den Von Zu Mit Auf Ist Ein Eine Nicht Im Le La Les De Et En Un Une Des Que "
     "El Los Las Del Y Por Con No Se Su Para Es Al Lo Dans Pour Qui Par Sur Au Pas"
 ).split()
+TITLES = "Mr Mrs Ms Dr Herr Frau Monsieur Madame Señor Señora Dear Liebe Lieber Signed Name".split()
+
+# Candidates of the added kinds. Their order settles which one a span is.
+_NAME = r"\p{Lu}\p{Ll}{1,20}+"
+_GIVEN = "(?:" + "|".join(GIVEN_NAMES) + ")(?!\\p{L})"
+_NO_NAME = "(?:" + "|".join((*SENTENCE_WORDS, *TITLES)) + ")(?!\\p{L})"
+CANDIDATES = {
+    # In one piece, or in groups of four.
+    "iban": r"[A-Z]{2}[0-9]{2}(?:[A-Z0-9]{11,30}|(?:\x20[A-Z0-9]{4}){2,7}(?:\x20[A-Z0-9]{1,3})?)"
+    r"(?![A-Za-z0-9])",
+    "ssn": r"[0-9]{3}-[0-9]{2}-[0-9]{4}(?![A-Za-z0-9-])",
+    # Signed tokens of three parts; keys with slashes and plus signs; keys of one run.
+    "secret": r"eyJ[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+(?:\.[A-Za-z0-9_-]++)?"
+    r"|(?=[A-Za-z/+]*+[0-9])(?=[a-z0-9/+]*+[A-Z])(?=[A-Z0-9/+]*+[a-z])"
+    r"(?=[A-Za-z0-9]*+[/+])[A-Za-z0-9/+]{32,}+={0,2}+"
+    r"|(?=[A-Za-z_]*+[0-9])(?=[0-9_]*+[A-Za-z])[A-Za-z0-9_]{20,}+",
+    # Two or three names behind any title, from a given name on if there is one.
+    "person": rf"(?!{_NO_NAME})(?:(?={_GIVEN})|(?!{_NAME}\x20{_GIVEN})){_NAME}"
+    rf"(?:\x20(?!{_NO_NAME}){_NAME}){{1,2}}+(?![\p{{L}}0-9])",
+}
+CANDIDATE = r"(?<![\p{L}0-9_.+-])(?:" + "|".join(CANDIDATES.values()) + ")"
+CONTEXT_CHARS = 24
+
 CUES = {
     "secret": r"(?i)(?:token|secret|api[ _-]?key|key|password|passwd|bearer)[\W_]{0,6}$",
     "iban": r"(?i)(?:iban|account|konto|compte|cuenta)[\W_]{0,6}$",
@@ -124,6 +144,18 @@ def _luhn(digits: Column) -> Column:
     return F.aggregate(doubled, F.lit(0), lambda acc, d: acc + F.coalesce(d, F.lit(0))) % 10 == 0
 
 
+def _iban_sum(found: Column) -> Column:
+    """The remainder by 97 of an account number's check, with letters as numbers; 1 is right."""
+    compact = F.replace(found, F.lit(" "))
+    turned = F.concat(F.substr(compact, F.lit(5)), F.left(compact, F.lit(4)))
+
+    def step(acc: Column, c: Column) -> Column:
+        letter = F.ascii(c) - F.ascii(F.lit("A"))
+        return F.when(letter >= 0, acc * 100 + letter + 10).otherwise(acc * 10 + F.ascii(c) - F.ascii(F.lit("0"))) % 97
+
+    return F.aggregate(F.split(turned, ""), F.lit(0), step)
+
+
 def _holds(kind: str, found: Column) -> Column:
     digits = F.length(_digits(found))
     return {
@@ -174,11 +206,11 @@ def _candidate(span: Column) -> Column:
         reversed(CANDIDATES.items()),
         F.lit("person"),
     )
-    first = F.substring_index(found, " ", 1)
-    last = F.substring_index(found, " ", -1)
+    words = F.split(found, " ")
     strict = found.rlike(r"^(?:[0-9a-f]{32,}|[0-9A-F]{32,})$") | found.rlike(
-        r"^(?:[A-Z]{2}[0-9]{2}[A-Z0-9]{11,30}|(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4})$"
+        r"^(?:(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}|eyJ[A-Za-z0-9_-]+(?:\.[A-Za-z0-9_-]+)+)$"
     )
+    strict = F.when(kind == "iban", _iban_sum(found) == 1).otherwise(strict)
     cued = reduce(
         lambda rest, item: F.when(kind == item[0], before.rlike(item[1])).otherwise(rest),
         CUES.items(),
@@ -189,8 +221,7 @@ def _candidate(span: Column) -> Column:
     votes = {
         "format": F.when(strict, 1).when(is_person, 0).otherwise(-1),
         "gazetteer": F.when(~is_person, 0)
-        .when(first.isin(*SENTENCE_WORDS) | last.isin(*SENTENCE_WORDS), -1)
-        .when(first.isin(*GIVEN_NAMES), 1)
+        .when(F.arrays_overlap(words, F.array(*map(F.lit, GIVEN_NAMES))), 1)
         .otherwise(-1),
         "context": F.when(cued, 1).when(is_person, -1).otherwise(0),
         "mix": F.when(is_person, 0).when(distinct >= 8, 1).otherwise(-1),
