@@ -7,6 +7,7 @@ import json
 import pytest
 
 from tillbook import __main__ as jobs
+from tillbook.streaming.store import read_events, read_metrics
 
 ORDERS = """Invoice,StockCode,Description,Quantity,InvoiceDate,Price,Customer ID,Country
 489434,85048,LIGHTS,12,2009-12-01 07:45:00,6.95,13085.0,United Kingdom
@@ -15,9 +16,14 @@ ORDERS = """Invoice,StockCode,Description,Quantity,InvoiceDate,Price,Customer ID
 C489449,22087,BUNTING,-12,2009-12-01 10:33:00,2.95,16321.0,Australia
 489450,22087,BUNTING,900,2009-12-02 10:33:00,6.95,,EIRE
 """
+LATER = "489500,85048,LIGHTS,1,2009-12-02 07:45:00,6.95,10001.0,France\n"
 RESPONSE = {"rates": {"2009-12-01": {"USD": 1.65}, "2009-12-02": {"USD": 1.66}}}
 
 
+def customers(spark, lake):
+    return spark.read.parquet(f"{lake}/curated/dim_customer").collect()
+
+
 @pytest.fixture
 def run(spark, monkeypatch):
     monkeypatch.setattr(jobs, "build_session", lambda: spark)
@@ -50,6 +56,26 @@ def test_from_files_to_star_and_metrics(spark, run, tmp_path):
     metrics = spark.read.parquet(f"{lake}/processed/metrics").orderBy("window_start").collect()
     assert [row["order_count"] for row in metrics] == [2, 1, 1]
 
+    run("compact", "--lake", lake, "--before", "2010-01-01", "--grace-hours", "0")
+    assert not list((tmp_path / "lake" / "processed" / "streaming").glob("date=*/batch_id=*"))
+    assert read_events(spark, f"{lake}/processed/streaming").count() == 5
+    kept = read_metrics(spark, f"{lake}/processed/metrics").orderBy("window_start").collect()
+    assert [row["order_count"] for row in kept] == [2, 1, 1]
+
+    paced = str(tmp_path / "paced")
+    run("replay", "--lake", lake, "--folder", paced, "--paced", "--rows-per-second", "3")
+    sent = spark.read.text(paced)
+    assert [row["count"] for row in sent.groupBy("batch").count().orderBy("batch").collect()] == [3, 2]
+
+    before = {r["customer_id"]: r["customer_key"] for r in customers(spark, lake)}
+    (tmp_path / "orders.csv").write_text(ORDERS + LATER)
+    run("land", "--lake", lake, "--orders", str(tmp_path / "orders.csv"), "--responses", responses)
+    run("clean", "--lake", lake)
+    run("star", "--lake", lake, "--keep-keys")
+    after = {r["customer_id"]: r["customer_key"] for r in customers(spark, lake)}
+    assert after == before | {"10001": len(before) + 1}
+    assert spark.read.parquet(f"{lake}/curated/fact_orders").count() == 4
+
 
 def test_star_and_metrics_go_to_the_warehouse(spark, run, monkeypatch):
     calls = []

@@ -5,20 +5,23 @@ from __future__ import annotations
 import argparse
 import os
 from collections.abc import Sequence
+from datetime import datetime, timezone
 
 from pyspark.sql import SparkSession
 
 from tillbook.operators.events import replay_slice, to_event_json
 from tillbook.plans import batch
-from tillbook.schemas import REPLAY_ROWS
+from tillbook.schemas import REPLAY_ROWS, REPLAY_ROWS_PER_SECOND
 from tillbook.session import build_session
 from tillbook.sinks.topic import write_events_to_folder, write_events_to_kafka
 from tillbook.sinks.warehouse import refresh_star, refresh_table
 from tillbook.sources.rates import latest_rate, read_responses
 from tillbook.sources.tables import read_orders_csv, read_table
+from tillbook.streaming.generations import committed_batch, drop_merged
 from tillbook.streaming.orders import run_order_stream
+from tillbook.streaming.replay import number_lines, run_paced_replay, to_folder, to_topic
 from tillbook.streaming.source import read_folder, read_topic
-from tillbook.streaming.store import read_metrics
+from tillbook.streaming.store import merge_closed_days, read_metrics
 
 
 def land(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -34,7 +37,7 @@ def clean(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def star(spark: SparkSession, args: argparse.Namespace) -> None:
-    batch.build_star(spark, args.lake)
+    batch.build_star(spark, args.lake, args.keep_keys)
 
 
 def _warehouse_login() -> dict[str, str]:
@@ -54,13 +57,34 @@ def publish_metrics(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def replay(spark: SparkSession, args: argparse.Namespace) -> None:
-    messages = to_event_json(replay_slice(batch.raw_orders(spark, args.lake), args.mode))
+    lines = replay_slice(batch.raw_orders(spark, args.lake), args.mode)
+    if args.paced:
+        pace = args.rows_per_second or REPLAY_ROWS_PER_SECOND[args.mode]
+        send = to_folder(args.folder) if args.folder else to_topic(args.servers, args.topic)
+        checkpoint = f"{args.lake}/checkpoints/replay_{args.mode}"
+        run_paced_replay(number_lines(lines), send, checkpoint, pace)
+        return
+    messages = to_event_json(lines)
     if args.folder:
         write_events_to_folder(messages, args.folder)
     else:
         write_events_to_kafka(messages, args.servers, args.topic)
 
 
+def _stream_tables(lake: str) -> dict[str, str]:
+    names = {"store": "streaming", "metrics": "metrics", "pieces": "metric_pieces"}
+    return {key: f"{lake}/processed/{name}" for key, name in names.items()}
+
+
+def compact(spark: SparkSession, args: argparse.Namespace) -> None:
+    tables = _stream_tables(args.lake)
+    committed = committed_batch(spark, f"{args.lake}/checkpoints/order_stream")
+    before = args.before or datetime.now(timezone.utc).date().isoformat()
+    merge_closed_days(spark, committed, before, **tables)
+    for table in tables.values():
+        drop_merged(spark, table, args.grace_hours * 3600)
+
+
 def stream(spark: SparkSession, args: argparse.Namespace) -> None:
     rate = args.rate
     if rate is None:
@@ -69,12 +93,15 @@ def stream(spark: SparkSession, args: argparse.Namespace) -> None:
         messages = read_folder(spark, args.folder)
     else:
         messages = read_topic(spark, args.servers, args.topic)
+    tables = _stream_tables(args.lake)
     run_order_stream(
         messages,
-        f"{args.lake}/processed/streaming",
-        f"{args.lake}/processed/metrics",
+        tables["store"],
+        tables["metrics"],
         f"{args.lake}/checkpoints/order_stream",
         rate,
+        pieces=tables["pieces"],
+        quarantine=f"{args.lake}/processed/unreadable",
         available_now=args.available_now,
         fractional=args.fractional,
         interval=args.trigger,
@@ -100,7 +127,13 @@ def parse(argv: Sequence[str] | None = None) -> argparse.Namespace:
     landing.add_argument("--orders", required=True, help="a .csv path or a Parquet table")
     landing.add_argument("--responses", required=True, help="rate response JSON files")
     command(clean, "clean the landed orders")
-    command(star, "build the star schema")
+    building = command(star, "build the star schema")
+    building.add_argument("--keep-keys", action="store_true", help="go on from the keys there are")
+    compacting = command(compact, "merge the stream's closed days into few files")
+    compacting.add_argument("--before", help="days before this date, by default before today")
+    compacting.add_argument(
+        "--grace-hours", type=float, default=24, help="how long merged batches are kept for readers"
+    )
     for job, text in (
         (publish, "load the star schema into the warehouse"),
         (publish_metrics, "load the window metrics into the warehouse"),
@@ -108,6 +141,8 @@ def parse(argv: Sequence[str] | None = None) -> argparse.Namespace:
         command(job, text).add_argument("--url", required=True, help="JDBC URL")
     replaying = command(replay, "send landed orders as messages")
     replaying.add_argument("--mode", choices=sorted(REPLAY_ROWS), default="test")
+    replaying.add_argument("--paced", action="store_true", help="in order, so many a second")
+    replaying.add_argument("--rows-per-second", type=int, help="default: the mode's pace")
     messages(replaying)
     streaming = command(stream, "store events and keep window metrics")
     streaming.add_argument("--rate", type=float, help="default: the last landed rate")

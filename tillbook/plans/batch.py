@@ -15,7 +15,8 @@ from tillbook.schemas import RATES, RAW_ORDERS
 from tillbook.sinks.lake import write_table
 from tillbook.sources.rates import flatten_rates
 from tillbook.sources.tables import land_orders, read_table
-from tillbook.staging import staged_until_done
+from tillbook.staging import stage, staged_until_done
+from tillbook.streaming.files import exists
 
 DIMENSIONS = {
     "dim_customer": dim_customer,
@@ -49,16 +50,27 @@ def clean(spark: SparkSession, lake: str) -> None:
     write_table(cleaned, f"{lake}/processed/cleaned_orders")
 
 
-def build_star(spark: SparkSession, lake: str) -> dict[str, DataFrame]:
+def build_star(
+    spark: SparkSession, lake: str, keep_keys: bool = False
+) -> dict[str, DataFrame]:
     """Write the five star tables, each once.
 
-    The fact joins the written dimensions, so lake and warehouse get the same keys.
+    The fact joins the written dimensions, so lake and warehouse get the same keys. With
+    ``keep_keys``, customers, countries and products that the lake's dimensions have already keep
+    their keys, and those that have no orders any more stay in them.
     """
     orders = read_table(spark, f"{lake}/processed/cleaned_orders")
     tables = {}
     with staged_until_done(spark):
         for name, build in DIMENSIONS.items():
-            write_table(build(orders), f"{lake}/curated/{name}")
+            path = f"{lake}/curated/{name}"
+            if keep_keys and name != "dim_date" and exists(spark, path):
+                # A copy, as the table itself is about to be replaced.
+                rows = build(orders, stage(star_table(spark, lake, name), name))
+                rows = stage(rows, name)
+            else:
+                rows = build(orders)
+            write_table(rows, path)
             tables[name] = star_table(spark, lake, name)
         fact = build_fact_orders(
             orders,
