@@ -165,15 +165,15 @@ def _named_items(baskets: DataFrame) -> DataFrame:
         .agg(*(F.sum(c).alias(c) for c in ("n", "bad", "h0", "h1")))
         .filter(F.col("bad") >= MIN_PAGES)
     )
-    total = baskets.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("total"))
+    total = baskets.agg(F.sum("n")).first()[0] or 0
     same = Window.partitionBy("n", "bad", "h0", "h1")
-    return single.crossJoin(F.broadcast(total)).select(
+    return single.select(
         "token",
         F.min("token").over(same).alias("item"),
         "n",
         "bad",
         _is_rule().alias("is_rule"),
-        (F.col("n") == F.col("total")).alias("everywhere"),
+        (F.col("n") == total).alias("everywhere"),
     )
 
 
