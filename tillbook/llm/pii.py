@@ -82,11 +82,11 @@ CANDIDATES = {
     "ssn": r"[0-9]{3}-[0-9]{2}-[0-9]{4}(?![A-Za-z0-9-])",
     # Signed tokens of three parts; keys with slashes and plus signs; keys of one run.
     "secret": r"eyJ[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+(?:\.[A-Za-z0-9_-]++)?"
-    r"|(?=[A-Za-z/+]*+[0-9])(?=[a-z0-9/+]*+[A-Z])(?=[A-Z0-9/+]*+[a-z])"
+    r"|(?=[A-Za-z0-9/+]{32})(?=[A-Za-z/+]*+[0-9])(?=[a-z0-9/+]*+[A-Z])(?=[A-Z0-9/+]*+[a-z])"
     r"(?=[A-Za-z0-9]*+[/+])[A-Za-z0-9/+]{32,}+={0,2}+"
-    r"|(?=[A-Za-z_]*+[0-9])(?=[0-9_]*+[A-Za-z])[A-Za-z0-9_]{20,}+",
+    r"|(?=[A-Za-z0-9_]{20})(?=[A-Za-z_]*+[0-9])(?=[0-9_]*+[A-Za-z])[A-Za-z0-9_]{20,}+",
     # Two or three names behind any title, from a given name on if there is one.
-    "person": rf"(?!{_NO_NAME})(?:(?={_GIVEN})|(?!{_NAME}\x20{_GIVEN})){_NAME}"
+    "person": rf"(?=\p{{Lu}})(?!{_NO_NAME})(?:(?={_GIVEN})|(?!{_NAME}\x20{_GIVEN})){_NAME}"
     rf"(?:\x20(?!{_NO_NAME}){_NAME}){{1,2}}+(?![\p{{L}}0-9])",
 }
 CANDIDATE = r"(?<![\p{L}0-9_.+-])(?:" + "|".join(CANDIDATES.values()) + ")"
