@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+import time
 
 import pytest
 from cases import documents, frame
@@ -42,6 +43,25 @@ def test_tiles(letters):
         assert tile(a, b, shortest) == plain_tiles(a, b, shortest)
 
 
+@pytest.mark.parametrize("size", [(400, 2000), (400, 4000), (200, 20_000)])
+def test_tiles_of_repetitions(size):
+    """One word again and again with another in its middle; each of these took 11 to 25 s."""
+    n, m = size
+    started = time.process_time()
+    tiles = tile([1] * (n // 2) + [2] + [1] * (n // 2 - 1), [1] * m, 3)
+    assert tiles == [(n // 2, 0, 0), (n // 2 - 1, n // 2 + 1, n // 2)]
+    assert time.process_time() - started < 1
+
+
+def test_repetitive_text_and_item(spark):
+    item = "again " * 300 + "other " + "again " * 99
+    items = spark.createDataFrame([(1, item)], "item_id bigint, text string")
+    docs = [(1, "again " * 20_000), (2, "again " * 100 + "other")]
+    rows = judged(spark, docs, items)
+    assert (rows[1].coverage, rows[1].n_tiles) == (399 / 400, 2)
+    assert not rows[2].contaminated
+
+
 ITEMS = [
     (1, "The first passage, of ten words. It has two sentences here."),
     (2, "Another item with words of its own and no sentence shared."),

@@ -54,8 +54,8 @@ class Block:
             if len(ids) < SEED_TOKENS:
                 continue
             codes = self._codes(np.array(ids, np.int64))
-            for place, code in enumerate(codes.tolist()):
-                seeds[code].append((len(self.items), place))
+            for code in set(codes.tolist()):
+                seeds[code].append(len(self.items))
             self.items.append((item_id, ids))
         self.seeds = dict(seeds)
         self.codes = np.array(sorted(seeds), np.uint64)
@@ -88,15 +88,15 @@ class Block:
         places = self.seed_places(ids)
         near = defaultdict(list)
         for place, code in zip(places.tolist(), self._codes(ids)[places].tolist() if len(places) else (), strict=True):
-            for item, in_item in self.seeds[code]:
-                near[item].append((place, in_item))
+            for item in self.seeds[code]:
+                near[item].append(place)
         results = []
-        for item, pairs in near.items():
+        for item, seeded in near.items():
             item_id, wanted = self.items[item]
-            seeded = {p + i for _, p in pairs for i in range(SEED_TOKENS)}
-            if len(seeded) < MIN_COVERAGE * len(wanted):
+            parts = self._near(ids, seeded)
+            if len(parts) < MIN_COVERAGE * len(wanted):
                 continue  # tiles lie within the seeds
-            tiles = tile(wanted, self._near(ids, [p for p, _ in pairs]), SEED_TOKENS)
+            tiles = tile(wanted, parts, SEED_TOKENS)
             coverage = sum(n for n, _, _ in tiles) / len(wanted)
             if coverage >= MIN_COVERAGE:
                 results.append((-coverage, item_id is None, item_id or 0, len(tiles), item_id))

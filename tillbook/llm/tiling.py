@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Iterator, Sequence
+from itertools import groupby
 
 _MODULUS = (1 << 61) - 1
 _BASE = 1_000_003
@@ -26,53 +27,72 @@ def _windows(tokens: Sequence[int], marked: Sequence[bool], size: int) -> Iterat
             yield i - size + 1, value
 
 
-def _matches(
+def _open(tokens: Sequence[int], marked: Sequence[bool]) -> int:
+    """Length of the longest run of unmarked tokens."""
+    free = (not m and t >= 0 for t, m in zip(tokens, marked, strict=True))
+    return max((sum(1 for _ in run) for is_free, run in groupby(free) if is_free), default=0)
+
+
+def _share(
+    a: Sequence[int], b: Sequence[int], in_a: list[bool], in_b: list[bool], size: int
+) -> bool:
+    """Whether there is an unmarked common run of ``size`` tokens."""
+    places = defaultdict(list)
+    for i, value in _windows(a, in_a, size):
+        places[value].append(i)
+    return any(
+        a[i : i + size] == b[j : j + size]
+        for j, value in _windows(b, in_b, size)
+        for i in places.get(value, ())
+    )
+
+
+def _mark(
     a: Sequence[int], b: Sequence[int], in_a: list[bool], in_b: list[bool], size: int
 ) -> list[tuple[int, int, int]]:
-    """``(length, start in a, start in b)`` of unmarked common runs of ``size`` or more tokens."""
+    """Mark common runs of ``size`` tokens, the longest there are, the earliest first."""
     places = defaultdict(list)
     for j, value in _windows(b, in_b, size):
         places[value].append(j)
-    found = []
+    for starts in places.values():
+        starts.reverse()
+    tiles = []
     for i, value in _windows(a, in_a, size):
-        for j in places.get(value, ()):
-            n = 0
-            while (
-                i + n < len(a)
-                and j + n < len(b)
-                and a[i + n] == b[j + n] >= 0
-                and not in_a[i + n]
-                and not in_b[j + n]
-            ):
-                n += 1
-            if n >= size:
-                found.append((n, i, j))
-    return found
+        # Runs marked here are as long as a window, so one that overlaps it covers an end of it.
+        if in_a[i] or value not in places:
+            continue
+        starts = places[value]
+        while starts and (in_b[starts[-1]] or in_b[starts[-1] + size - 1]):
+            starts.pop()
+        for j in reversed(starts):
+            if in_b[j] or in_b[j + size - 1] or a[i : i + size] != b[j : j + size]:
+                continue
+            in_a[i : i + size] = in_b[j : j + size] = [True] * size
+            tiles.append((size, i, j))
+            break
+    return tiles
 
 
 def tile(a: Sequence[int], b: Sequence[int], shortest: int) -> list[tuple[int, int, int]]:
     """Non-overlapping common runs of ``shortest`` or more tokens, longest first.
 
     Returns ``(length, start in a, start in b)``; of equal lengths the earliest in ``a``, then in
-    ``b``, is taken. Negative tokens match nothing. The search length starts at the whole of
-    ``a`` and is halved when nothing of it is left to mark.
+    ``b``, is taken. Negative tokens match nothing. The length of the longest run is found by
+    halving, as a common run holds common runs of all smaller lengths; marking takes all runs of
+    that length at once. Lengths fall, and tiles fit into ``a``, so there are at most about
+    ``sqrt(2 * len(a))`` lengths, and the work grows with ``len(a) + len(b)`` for each.
     """
     in_a, in_b = [False] * len(a), [False] * len(b)
-    tiles = []
-    size = max(len(a), shortest)
+    tiles: list[tuple[int, int, int]] = []
+    size = min(len(a), len(b)) + 1
     while True:
-        found = sorted(_matches(a, b, in_a, in_b, size), key=lambda m: (-m[0], m[1], m[2]))
-        longest = found[0][0] if found else 0
-        # Only the longest runs are marked; what they cut short is searched again.
-        for n, i, j in found:
-            if n < longest:
-                break
-            if any(in_a[i : i + n]) or any(in_b[j : j + n]):
-                continue
-            in_a[i : i + n] = in_b[j : j + n] = [True] * n
-            tiles.append((n, i, j))
-        if found:
-            continue
-        if size == shortest:
+        low, size = shortest - 1, min(size - 1, _open(a, in_a), _open(b, in_b))
+        while low < size:
+            middle = (low + size + 1) // 2
+            if _share(a, b, in_a, in_b, middle):
+                low = middle
+            else:
+                size = middle - 1
+        if size < shortest:
             return tiles
-        size = max(size // 2, shortest)
+        tiles += _mark(a, b, in_a, in_b, size)
