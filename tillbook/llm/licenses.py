@@ -1,18 +1,25 @@
 """Licence scans: normalised text against licence templates by Dice coefficient over word bigrams.
 
-A notice may be a line, a paragraph or a whole text, so each of those is compared. A coefficient of
-``t`` between ``a`` and ``b`` distinct bigrams needs ``a`` between ``t / (2 - t)`` and
-``(2 - t) / t`` times ``b``, which prunes most templates before anything is counted. Templates are
-a short, fixed table; documents are not shuffled.
+A notice may be a line, a paragraph or a whole text, so each of those is compared. It may also be
+several paragraphs, or a sentence, among others: wherever a text shares a bigram with a template,
+the window of as many words as the template has, placed so that the two bigrams coincide, is
+compared with that template. A coefficient of ``t`` between ``a`` and ``b`` distinct bigrams needs
+``a`` between ``t / (2 - t)`` and ``(2 - t) / t`` times ``b``, which prunes most templates before
+anything is counted, and a window must share ``t / (2 - t)`` of its template's bigrams at least.
+Templates are a short, fixed table; documents are not shuffled.
+
+Of matches that overlap the best is kept: the highest coefficient, then the template with the most
+bigrams, the earliest start, a line before a paragraph, text and window, the first template. So a
+notice is not also reported as the one that its first paragraph resembles.
 
 Normalised: ``A-Z`` in small letters, ASCII punctuation as spaces. Null and empty texts, and units
-of fewer than two words, match nothing. Of equal matches the first template of the table wins.
-Repeated rows and null ids are scanned like others.
+of fewer than two words, match nothing. Repeated rows and null ids are scanned like others.
 """
 
 from __future__ import annotations
 
 import string
+from bisect import bisect_left
 from collections import defaultdict
 from collections.abc import Iterator, Mapping
 
@@ -23,7 +30,7 @@ from pyspark.sql import functions as F
 from tillbook.llm.text import whole_rows
 
 MIN_DICE = 0.8
-LEVELS = ("line", "paragraph", "text")
+LEVELS = ("line", "paragraph", "text", "window")
 
 # Licence texts and the notices that stand for longer ones.
 TEMPLATES: Mapping[str, tuple[str, ...]] = {
@@ -62,12 +69,21 @@ TEMPLATES: Mapping[str, tuple[str, ...]] = {
         "hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of "
         "MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for "
         "more details.",
+        "This program is free software: you can redistribute it and/or modify it under the terms of "
+        "the GNU General Public License as published by the Free Software Foundation, either version "
+        "3 of the License, or (at your option) any later version.",
     ),
     "GPL-2.0": (
         "This work is licensed under the GNU General Public License, version 2.",
         "This program is free software; you can redistribute it and/or modify it under the terms of "
         "the GNU General Public License as published by the Free Software Foundation; either version "
         "2 of the License, or (at your option) any later version.",
+        "This program is free software; you can redistribute it and/or modify it under the terms of "
+        "the GNU General Public License as published by the Free Software Foundation; either version "
+        "2 of the License, or (at your option) any later version. This program is distributed in the "
+        "hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of "
+        "MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for "
+        "more details.",
     ),
     "ISC": (
         "Permission to use, copy, modify, and/or distribute this software for any purpose with or "
@@ -115,25 +131,23 @@ _PLAIN = bytes.maketrans(
 _FOUND = "array<struct<template: int, dice: double, level: string, unit: int>>"
 
 
-def units(text: bytes | None) -> Iterator[tuple[str, int, list[bytes]]]:
-    """``(level, number, words)`` of each line, paragraph of several lines, and several lines.
-
-    A line without words ends a paragraph.
+def units(lines: list[list[bytes]]) -> Iterator[tuple[str, int, int, int]]:
+    """``(level, number, start, end)`` of each line, paragraph of several lines, and several
+    paragraphs; starts and ends are word numbers. A line without words ends a paragraph.
     """
-    lines = [line.split() for line in (text or b"").translate(_PLAIN).split(b"\n")]
-    paragraph: list[list[bytes]] = []
-    n_paragraphs = 0
+    place = begun = n_lines = n_paragraphs = 0
     for i, line in enumerate([*lines, []]):
         if line:
-            yield "line", i, line
-            paragraph.append(line)
-        elif paragraph:
-            if len(paragraph) > 1:
-                yield "paragraph", n_paragraphs, sum(paragraph, [])
+            yield "line", i, place, place + len(line)
+            place += len(line)
+            n_lines += 1
+        elif n_lines:
+            if n_lines > 1:
+                yield "paragraph", n_paragraphs, begun, place
             n_paragraphs += 1
-            paragraph = []
+            begun, n_lines = place, 0
     if n_paragraphs > 1:
-        yield "text", 0, [word for line in lines for word in line]
+        yield "text", 0, 0, place
 
 
 def bigrams(words: list[bytes]) -> set[tuple[bytes, bytes]]:
@@ -146,13 +160,22 @@ class Templates:
     def __init__(self, texts: list[str], least: float = MIN_DICE):
         self.least = least
         self.sizes = []
+        self.lengths = []
+        self.bigrams = []
         self.holding: dict[tuple[bytes, bytes], list[int]] = defaultdict(list)
+        self.places: dict[tuple[bytes, bytes], list[tuple[int, int]]] = defaultdict(list)
         for i, text in enumerate(texts):
-            pairs = bigrams(text.encode().translate(_PLAIN).split())
+            words = text.encode().translate(_PLAIN).split()
+            pairs = bigrams(words)
+            self.lengths.append(len(words))
+            self.bigrams.append(pairs)
             self.sizes.append(len(pairs))
+            for place, pair in enumerate(zip(words, words[1:], strict=False)):
+                self.places[pair].append((i, place))
             for pair in pairs:
                 self.holding[pair].append(i)
         self.holding = dict(self.holding)
+        self.places = dict(self.places)
         self.low = least / (2 - least)
         self.high = (2 - least) / least
 
@@ -180,17 +203,62 @@ class Templates:
                 best = i, dice
         return best
 
+    def windows(self, words: list[bytes]) -> Iterator[tuple[int, int, float]]:
+        """``(template, start, coefficient)`` of each window that is close enough."""
+        hits: dict[int, list[int]] = defaultdict(list)
+        starts: dict[int, set[int]] = defaultdict(set)
+        get = self.places.get
+        for i, pair in enumerate(zip(words, words[1:], strict=False)):
+            for t, place in get(pair, ()):
+                last = len(words) - self.lengths[t]
+                if last >= 0:
+                    if not hits[t] or hits[t][-1] != i:
+                        hits[t].append(i)
+                    starts[t].add(max(0, min(i - place, last)))
+        for t, found in hits.items():
+            size, length = self.sizes[t], self.lengths[t]
+            needed = self.low * size - 1e-9
+            if len(found) < needed:
+                continue
+            for start in starts[t]:
+                end = start + length
+                if bisect_left(found, end - 1) - bisect_left(found, start) < needed:
+                    continue
+                pairs = bigrams(words[start:end])
+                dice = 2 * len(pairs & self.bigrams[t]) / (len(pairs) + size)
+                if dice >= self.least:
+                    yield t, start, dice
+
+    def find(self, text: bytes | None) -> list[tuple[int, float, str, int]]:
+        """``(template, coefficient, level, number)`` of the matches of a text, best first."""
+        lines = [line.split() for line in (text or b"").translate(_PLAIN).split(b"\n")]
+        words = [word for line in lines for word in line]
+        if not any(pair in self.holding for pair in zip(words, words[1:], strict=False)):
+            return []
+        matches = []
+        for level, n, start, end in units(lines):
+            if match := self.match(words[start:end]):
+                t, dice = match
+                matches.append((-dice, -self.sizes[t], start, LEVELS.index(level), t, n, end))
+        for t, start, dice in self.windows(words):
+            matches.append((-dice, -self.sizes[t], start, 3, t, start, start + self.lengths[t]))
+        matches.sort()
+        kept, taken = [], []
+        for minus, _, start, level, t, n, end in matches:
+            at = bisect_left(taken, (start, end))
+            before = at and taken[at - 1][1] > start
+            if before or at < len(taken) and taken[at][0] < end:
+                continue
+            taken.insert(at, (start, end))
+            kept.append((t, -minus, LEVELS[level], n))
+        return kept
+
 
 def _matches(text: Column, templates: Templates) -> Column:
     @F.pandas_udf(_FOUND)
     def matches(texts: pd.Series) -> pd.Series:
-        found = []
-        for t in texts:
-            rows = ((m, level, n) for level, n, words in units(t) if (m := templates.match(words)))
-            found.append(
-                [{"template": m[0], "dice": m[1], "level": lv, "unit": n} for m, lv, n in rows]
-            )
-        return pd.Series(found)
+        names = ("template", "dice", "level", "unit")
+        return pd.Series([[dict(zip(names, m, strict=True)) for m in templates.find(t)] for t in texts])
 
     return matches(text.cast("binary"))
 
@@ -200,7 +268,10 @@ def _named() -> list[tuple[str, str]]:
 
 
 def scan(docs: DataFrame, text: str = "text", least: float = MIN_DICE) -> DataFrame:
-    """``row`` and ``found``: licence, coefficient, level and number of each matching unit."""
+    """``row`` and ``found``: licence, coefficient, level and number of each match, best first.
+
+    The number of a window is its first word's.
+    """
     named = _named()
     templates = Templates([t for _, t in named], least)
     names = F.array(*(F.lit(name) for name, _ in named))
@@ -220,26 +291,14 @@ def scan(docs: DataFrame, text: str = "text", least: float = MIN_DICE) -> DataFr
 
 def op3(docs: DataFrame) -> DataFrame:
     """One row per document: its best licence, how well it fits and where, and all licences."""
-    ranked = F.sort_array(
-        F.transform(
-            "found",
-            lambda m: F.struct(
-                (-m["dice"]).alias("minus"), m["template"].alias("template"), m["license"].alias("license")
-            ),
-        )
-    )
     names = F.array_sort(F.array_distinct(F.transform("found", lambda m: m["license"])))
-    best = F.get("ranked", F.lit(0))
-    return (
-        scan(docs)
-        .select("row", "found", ranked.alias("ranked"))
-        .select(
-            F.col("row.doc_id").alias("doc_id"),
-            best["license"].alias("license"),
-            (-best["minus"]).alias("dice"),
-            F.array_join(names, ",").alias("licenses"),
-            F.size("found").cast("long").alias("n_matches"),
-        )
+    best = F.get("found", F.lit(0))
+    return scan(docs).select(
+        F.col("row.doc_id").alias("doc_id"),
+        best["license"].alias("license"),
+        best["dice"].alias("dice"),
+        F.array_join(names, ",").alias("licenses"),
+        F.size("found").cast("long").alias("n_matches"),
     )
 
 
@@ -255,16 +314,21 @@ def _plain_sql(column: str) -> str:
 
 _WORDS_SQL = "list_filter(regexp_split_to_array({0}, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '')"
 
+_LOW = MIN_DICE / (2 - MIN_DICE)
+
 OP3_SQL = f"""
 WITH templates AS (
   SELECT t, license, {_WORDS_SQL.format(_plain_sql("body"))} AS w
   FROM (VALUES {", ".join(f"({i}, {_quoted(n)}, {_quoted(t)})" for i, (n, t) in enumerate(_named()))})
     AS v(t, license, body)
+), template_places AS (
+  SELECT t, len(w) AS n, i - 1 AS p, w[i] AS a, w[i + 1] AS b
+  FROM (SELECT t, w, unnest(generate_series(1, len(w) - 1)) AS i FROM templates)
 ), template_pairs AS (
-  SELECT DISTINCT t, license, w[i] AS a, w[i + 1] AS b
-  FROM (SELECT t, license, w, unnest(generate_series(1, len(w) - 1)) AS i FROM templates)
+  SELECT DISTINCT t, a, b FROM template_places
 ), sizes AS (
-  SELECT t, license, count(*) AS size FROM template_pairs GROUP BY ALL
+  SELECT t, license, len(w) AS n, size
+  FROM templates JOIN (SELECT t, count(*) AS size FROM template_pairs GROUP BY t) USING (t)
 ), texts AS (
   SELECT row_number() OVER () AS r, doc_id, {_plain_sql("coalesce(text, '')")} AS text FROM documents
 ), lines AS (
@@ -272,31 +336,58 @@ WITH templates AS (
   FROM (SELECT r, lines, unnest(generate_series(1, len(lines))) AS i
         FROM (SELECT r, string_split(text, chr(10)) AS lines FROM texts))
 ), numbered AS (
-  SELECT r, i, w, i - row_number() OVER (PARTITION BY r ORDER BY i) AS p FROM lines WHERE len(w) > 0
+  SELECT r, i, w, i - row_number() OVER (PARTITION BY r ORDER BY i) AS p,
+    sum(len(w)) OVER (PARTITION BY r ORDER BY i) - len(w) AS s
+  FROM lines WHERE len(w) > 0
 ), paragraphs AS (
-  SELECT r, p, flatten(list(w ORDER BY i)) AS w, count(*) AS n FROM numbered GROUP BY r, p
+  SELECT r, p, flatten(list(w ORDER BY i)) AS w, count(*) AS n, min(s) AS s
+  FROM numbered GROUP BY r, p
+), whole AS (
+  SELECT r, flatten(list(w ORDER BY p)) AS w, count(*) AS n FROM paragraphs GROUP BY r
+), hits AS (
+  SELECT r, i, t, greatest(0, least(i - p, n_words - n)) AS s
+  FROM (SELECT r, i - 1 AS i, w[i] AS a, w[i + 1] AS b, len(w) AS n_words
+        FROM (SELECT r, w, unnest(generate_series(1, len(w) - 1)) AS i FROM whole))
+  JOIN template_places USING (a, b) WHERE n_words >= n
+), enough AS (
+  SELECT r, t FROM hits JOIN sizes USING (t)
+  GROUP BY r, t, size HAVING count(DISTINCT i) >= {_LOW} * size - 1e-9
+), starts AS (
+  SELECT r, t, g.s, z.n
+  FROM (SELECT DISTINCT r, t, s FROM hits) AS g JOIN enough USING (r, t) JOIN sizes AS z USING (t)
+  JOIN (SELECT DISTINCT r, t, i FROM hits) AS h USING (r, t)
+  WHERE h.i BETWEEN g.s AND g.s + z.n - 2
+  GROUP BY r, t, g.s, z.n, z.size HAVING count(*) >= {_LOW} * z.size - 1e-9
 ), units AS (
-  SELECT r, 'line' AS level, i AS u, w FROM numbered
-  UNION ALL SELECT r, 'paragraph', p, w FROM paragraphs WHERE n > 1
-  UNION ALL SELECT r, 'text', 0, flatten(list(w ORDER BY p)) FROM paragraphs GROUP BY r HAVING count(*) > 1
+  SELECT r, 0 AS level, i AS u, -1 AS own, s, w FROM numbered
+  UNION ALL SELECT r, 1, p, -1, s, w FROM paragraphs WHERE n > 1
+  UNION ALL SELECT r, 2, 0, -1, 0, w FROM whole WHERE n > 1
+  UNION ALL SELECT r, 3, s, t, s, list_slice(w, s + 1, s + starts.n) FROM starts JOIN whole USING (r)
 ), pairs AS (
-  SELECT DISTINCT r, level, u, w[i] AS a, w[i + 1] AS b
-  FROM (SELECT r, level, u, w, unnest(generate_series(1, len(w) - 1)) AS i FROM units WHERE len(w) > 1)
+  SELECT DISTINCT r, level, u, own, s, len(w) AS n_words, w[i] AS a, w[i + 1] AS b
+  FROM (SELECT *, unnest(generate_series(1, len(w) - 1)) AS i FROM units WHERE len(w) > 1)
 ), unit_sizes AS (
-  SELECT r, level, u, count(*) AS size FROM pairs GROUP BY ALL
+  SELECT r, level, u, own, s, n_words, count(*) AS size FROM pairs GROUP BY ALL
 ), shared AS (
-  SELECT r, level, u, t, count(*) AS n FROM pairs JOIN template_pairs USING (a, b) GROUP BY ALL
+  SELECT r, level, u, own, t, count(*) AS n FROM pairs JOIN template_pairs USING (a, b)
+  WHERE own IN (-1, t) GROUP BY ALL
 ), scored AS (
-  SELECT r, level, u, t, license, 2 * n / (q.size + s.size) AS dice
-  FROM shared JOIN unit_sizes AS q USING (r, level, u) JOIN sizes AS s USING (t)
+  SELECT r, level, u, own, q.s, q.s + n_words AS e, t, license, z.size,
+    2 * shared.n / (q.size + z.size) AS dice
+  FROM shared JOIN unit_sizes AS q USING (r, level, u, own) JOIN sizes AS z USING (t)
 ), matched AS (
-  SELECT r, level, u, t, license, dice FROM scored WHERE dice >= {MIN_DICE}
-  QUALIFY row_number() OVER (PARTITION BY r, level, u ORDER BY dice DESC, t) = 1
-), found AS (
-  SELECT r, first(license ORDER BY dice DESC, t) AS license, max(dice) AS dice,
-    string_agg(DISTINCT license, ',' ORDER BY license) AS licenses, count(*) AS n_matches
+  SELECT * FROM scored WHERE dice >= {MIN_DICE}
+  QUALIFY row_number() OVER (PARTITION BY r, level, u, own ORDER BY dice DESC, t) = 1
+), kept AS (
+  SELECT r, list_reduce(
+    list([{{'s': s, 'e': e, 'dice': dice, 'license': license}}]
+         ORDER BY dice DESC, size DESC, s, level, t),
+    lambda k, x: CASE WHEN len(list_filter(k, lambda y: y.s < x[1].e AND x[1].s < y.e)) = 0
+                      THEN list_concat(k, x) ELSE k END) AS k
   FROM matched GROUP BY r
 )
-SELECT doc_id, license, dice, coalesce(licenses, '') AS licenses, coalesce(n_matches, 0) AS n_matches
-FROM texts LEFT JOIN found USING (r)
+SELECT doc_id, k[1].license AS license, k[1].dice AS dice,
+  coalesce(array_to_string(list_sort(list_distinct(list_transform(k, lambda x: x.license))), ','), '') AS licenses,
+  coalesce(len(k), 0) AS n_matches
+FROM texts LEFT JOIN kept USING (r)
 """
