@@ -53,7 +53,7 @@ def test_tiles_of_repetitions(size):
     assert time.process_time() - started < 1
 
 
-def test_repetitive_text_and_item(spark):
+def test_repetitive_text_and_item(spark, way):
     item = "again " * 300 + "other " + "again " * 99
     items = spark.createDataFrame([(1, item)], "item_id bigint, text string")
     docs = [(1, "again " * 20_000), (2, "again " * 100 + "other")]
@@ -79,7 +79,13 @@ def judged(spark, docs, items=None):
     return {r.doc_id: r for r in rows}
 
 
-def test_found(spark):
+@pytest.fixture(params=["broadcast", "joined"])
+def way(request, monkeypatch):
+    if request.param == "joined":
+        monkeypatch.setattr(decontaminate, "BROADCAST_BYTES", 10)
+
+
+def test_found(spark, way):
     docs = [
         (1, "Before it. the FIRST passage of ten words it has two sentences here and after."),
         (2, "it has two sentences here. In between. The first passage, of ten words."),  # reordered
@@ -107,7 +113,7 @@ def plain_coverage(text, item):
     return sum(t[0] for t in tiles) / len(a), len(tiles)
 
 
-def test_against_tiling_all_pairs(spark):
+def test_against_tiling_all_pairs(spark, way):
     r = random.Random(5)
     vocabulary = [f"v{i}" for i in range(30)]
     items = [(i, " ".join(r.choice(vocabulary) for _ in range(r.randint(3, 15)))) for i in range(12)]
@@ -134,11 +140,27 @@ def test_blocks_change_nothing(spark, monkeypatch):
     key = lambda r: str(tuple(r))
     one = sorted(decontaminate.op7(frame(spark, docs), benchmark(spark)).collect(), key=key)
     monkeypatch.setattr(decontaminate, "BLOCK_WORDS", 8)
-    assert len(decontaminate._blocks(benchmark(spark))) > 2
+    assert len(decontaminate._blocks(decontaminate._items(benchmark(spark)))) > 2
     assert sorted(decontaminate.op7(frame(spark, docs), benchmark(spark)).collect(), key=key) == one
     assert {r.doc_id for r in one if r.contaminated} == {9000, 9001}
 
 
+def test_joined_changes_nothing(spark, sf_dir, monkeypatch):
+    """Over the test tables, and with copies of items and wordings that most items share."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet").select("item_id", "text")
+    common = items.selectExpr("item_id + 100000 AS item_id", "concat('which of the following is it ', text) AS text")
+    items = items.union(items).union(common)
+    key = lambda r: str(tuple(r))
+    one = sorted(decontaminate.op7(docs, items).collect(), key=key)
+    assert any(r.contaminated for r in one)
+    monkeypatch.setattr(decontaminate, "BROADCAST_BYTES", 10)
+    monkeypatch.setattr(decontaminate, "FILTER_BITS", 1 << 12)  # well filled
+    joined = decontaminate.op7(docs, items)
+    assert sorted(joined.collect(), key=key) == one
+    assert joined.dtypes == decontaminate.op7(docs, items.limit(0)).dtypes
+
+
 def test_empty_tables(spark):
     assert judged(spark, []) == {}
     nothing = benchmark(spark).limit(0)
