@@ -123,21 +123,29 @@ def op1(docs: DataFrame) -> DataFrame:
 def keep_one(docs: DataFrame, k: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
     """One row of each component, that with the smallest id (null ids last), input columns only.
 
-    Of rows with that id and different texts of one component, the smallest fingerprint stays.
+    Of rows with that id in one component, the smallest fingerprint stays, and of its rows one.
+    Rows are stored once beside their fingerprint and a number; only numbers are grouped, and the
+    rows come back by one join that hashes the kept numbers, so texts are neither sorted nor
+    grouped.
     """
-    hashed = stage(docs.select("doc_id", simhash(F.col("text"), k).alias("fp")), "simhash")
-    # A fingerprint's smallest id is its ``first``, so a component's row is among these.
-    best = F.min(F.struct(F.col("first").isNull(), "first", "fp")).alias("best")
+    rows = stage(
+        whole_rows(
+            docs,
+            doc_id=F.col("doc_id"),
+            fp=simhash(F.col("text"), k),
+            number=F.monotonically_increasing_id(),
+        ),
+        "simhash",
+    )
+    narrow = rows.select("doc_id", "fp", "number")
+    best = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "fp", "number")
     kept = (
-        classes(hashed, max_bits)
+        narrow.groupBy("fp")
+        .agg(F.min(best).alias("best"))
+        .join(classes(narrow, max_bits).select("fp", "root"), "fp")
         .groupBy("root")
-        .agg(best)
-        .select(F.col("best.first").alias("first"), F.col("best.fp").alias("kept_fp"))
-    )
-    rows = whole_rows(docs, doc_id=F.col("doc_id"), fp=simhash(F.col("text"), k))
-    found = rows.join(
-        kept,
-        (rows["fp"] == kept["kept_fp"]) & rows["doc_id"].eqNullSafe(kept["first"]),
-        "left_semi",
+        .agg(F.min("best").alias("best"))
+        .select(F.col("best.number").alias("kept"))
     )
-    return found.dropDuplicates(["doc_id", "fp"]).select("row.*")
+    found = rows.join(kept.hint("shuffle_hash"), rows["number"] == kept["kept"], "left_semi")
+    return found.select("row.*")
