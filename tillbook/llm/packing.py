@@ -216,6 +216,8 @@ def _pieces(text: Column, broadcast, capacity: int) -> Column:
         offsets = np.cumsum([0, *map(len, cuts)], dtype=np.int32)
         lengths, crcs = (pa.array([piece[i] for piece in flat], pa.int64()) for i in (0, 1))
         parts = pa.StructArray.from_arrays([lengths, crcs], ["length", "ids_crc32"])
+        # A worker that waits for its next task should not hold the memory of this one's blocks.
+        pa.default_memory_pool().release_unused()
         return pa.ListArray.from_arrays(pa.array(offsets), parts)
 
     return pieces(text)
