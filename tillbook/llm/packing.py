@@ -237,7 +237,9 @@ def tokenize(docs: DataFrame, path: str, capacity: int = CAPACITY) -> DataFrame:
     ids = _pieces(F.col("text"), tokenizer_file(docs.sparkSession, path), capacity)
     return (
         docs.select("doc_id", ids.alias("pieces"))
-        .select("doc_id", F.posexplode("pieces").alias("piece", "p"))
+        # Every document has a piece. Without "outer", Spark would add a filter on the number of
+        # pieces and tokenize once more for it, in a second Python worker.
+        .select("doc_id", F.posexplode_outer("pieces").alias("piece", "p"))
         .select(
             "doc_id",
             "piece",
