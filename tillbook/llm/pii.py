@@ -306,7 +306,10 @@ def train(found: DataFrame) -> tuple[list[float], float] | None:
     """
     cell = ["kind", *LABELERS, "digits", "small"]
     counted = (
-        found.select(F.explode("candidates").alias("c"))
+        # Without "outer", Spark would add a filter on the number of candidates, and look for them
+        # once more in it.
+        found.select(F.explode_outer("candidates").alias("c"))
+        .filter(F.col("c").isNotNull())
         .groupBy(*(F.col("c")[name].alias(name) for name in cell))
         .agg(F.count(F.lit(1)).alias("n"))
         .collect()
