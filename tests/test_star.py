@@ -13,6 +13,7 @@ from tillbook.operators.fact import (
     lookup_keys,
     measured_bytes,
 )
+from tillbook.plans import catalog
 from tillbook.plans.batch import build_star, run_batch
 from tillbook.plans.catalog import _cleaned
 from tillbook.sources import fixtures
@@ -223,3 +224,17 @@ def test_batch_run_writes_every_table_and_drops_its_stages(spark, sf_dir, tmp_pa
     once = {name: {tuple(row) for row in table.collect()} for name, table in star.items()}
     again = build_star(spark, str(tmp_path / "lake"))
     assert {name: {tuple(row) for row in table.collect()} for name, table in again.items()} == once
+
+
+def test_sums_of_a_batch_run_may_exceed_a_bigint(spark, monkeypatch):
+    fact = spark.createDataFrame(
+        [(2**40, 2**22, 1, 1, 1.5)] * 8,
+        "order_key long, customer_key int, product_key int, country_key int, total_amount_usd double",
+    )
+    monkeypatch.setattr(catalog, "run_batch", lambda *_: {"fact_orders": fact})
+    monkeypatch.setattr(catalog.fixtures, "raw_orders", lambda *_: None)
+    monkeypatch.setattr(catalog.fixtures, "fx_rates", lambda *_: None)
+    monkeypatch.setattr(catalog.fixtures, "rate_responses", lambda *_: None)
+    row = catalog.batch_run(spark, "").first()
+    assert row["key_sum"] == float(8 * 2**40 * (2**22 + 2)) > 2**63
+    assert (row["row_count"], row["value_sum"]) == (8, 12.0)

@@ -117,6 +117,11 @@ def fact_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _wide_sum(x: str) -> str:
+    """A sum as a double, added up in 38 digits: products of keys soon exceed a bigint's."""
+    return f"CAST(sum(CAST({x} AS DECIMAL(38,2))) AS DOUBLE)"
+
+
 def batch_run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Row counts and sums over keys and values of the star tables after a whole batch run."""
     star = run_batch(
@@ -129,7 +134,7 @@ def batch_run(spark: SparkSession, sf_dir: str) -> DataFrame:
         table.agg(
             F.lit(name).alias("table_name"),
             F.count(F.lit(1)).alias("row_count"),
-            *(F.expr(f"CAST(sum({x}) AS DOUBLE)").alias(c) for c, x in STAR_SUMS[name].items()),
+            *(F.expr(_wide_sum(x)).alias(c) for c, x in STAR_SUMS[name].items()),
         )
         for name, table in star.items()
     ]
