@@ -92,3 +92,29 @@ def test_nothing_to_send(spark, tmp_path):
     sent = []
     assert replay.run_paced_replay(numbered, lambda *_: sent.append(1), str(tmp_path), 5, 0.1) == 0
     assert sent == []
+
+
+def test_one_large_batch_has_several_files(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(replay, "LINES_PER_TASK", 4)
+    numbered = replay.number_lines(lines(spark))
+    folder = str(tmp_path / "messages")
+    replay.run_paced_replay(numbered, replay.to_folder(folder), str(tmp_path / "checkpoint"), 24, 1)
+    assert [text for _, text in sent_rows(spark, folder)] == expected(spark, numbered)
+    names = [name for name in os.listdir(f"{folder}/batch=0") if name.endswith(".txt")]
+    assert len(names) > 3
+
+
+def test_a_topic_gets_a_large_batch_piece_by_piece(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(replay, "LINES_PER_TASK", 10)
+    numbered = replay.number_lines(lines(spark))
+    sent = []
+
+    def write(messages, *_):
+        assert messages.rdd.getNumPartitions() == 1
+        sent.append([row["value"] for row in messages.collect()])
+
+    monkeypatch.setattr(replay, "write_events_to_kafka", write)
+    send = replay.to_topic("host:9092", "orders")
+    replay.run_paced_replay(numbered, send, str(tmp_path / "checkpoint"), 24, 1)
+    assert [len(piece) for piece in sent] == [10, 10, 4]
+    assert [text for piece in sent for text in piece] == expected(spark, numbered)

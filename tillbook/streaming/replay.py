@@ -21,7 +21,10 @@ from tillbook.staging import stage
 
 NUMBER = "_number"
 ORDER = ("InvoiceDate", "Invoice", "StockCode")
+# Lines that one task sorts and sends.
+LINES_PER_TASK = 500_000
 
+# With an attribute ``in_turn``, it gets a large batch in pieces, one after the other.
 Send = Callable[[DataFrame, int], None]
 
 
@@ -39,7 +42,7 @@ def number_lines(raw: DataFrame, first: Sequence[str] = ORDER) -> DataFrame:
 
 
 def to_folder(path: str) -> Send:
-    """Messages of a batch as text files of its own; sending it again replaces them."""
+    """Messages of a batch as text files of its own, in order by name; sending it again replaces them."""
 
     def send(messages: DataFrame, batch_id: int) -> None:
         messages.write.mode("overwrite").text(f"{path}/batch={batch_id}")
@@ -49,7 +52,19 @@ def to_folder(path: str) -> Send:
 
 def to_topic(servers: str, topic: str) -> Send:
     """Messages to a Kafka topic; a batch that was cut off is sent again, so at least once."""
-    return lambda messages, _: write_events_to_kafka(messages, servers, topic)
+
+    def send(messages: DataFrame, _: int) -> None:
+        write_events_to_kafka(messages, servers, topic)
+
+    send.in_turn = True
+    return send
+
+
+def _in_order(lines: DataFrame, count: int) -> DataFrame:
+    """Messages of ``count`` numbered lines, in order within a partition and from one to the next."""
+    tasks = -(-count // LINES_PER_TASK)
+    parts = lines.coalesce(1) if tasks <= 1 else lines.repartitionByRange(tasks, NUMBER)
+    return to_event_json(parts.sortWithinPartitions(NUMBER))
 
 
 def run_paced_replay(
@@ -61,10 +76,11 @@ def run_paced_replay(
 ) -> int:
     """Send all lines of ``number_lines`` and return how many there are.
 
-    ``seconds`` is the time between batches; each has ``rows_per_second * seconds`` lines, one
-    task's work so that they are sent in order. A batch that takes longer delays the next, so
-    the pace is the fastest there can be. A replay keeps its pace and lines from start to start:
-    the checkpoint counts batches of one size.
+    ``seconds`` is the time between batches; each has ``rows_per_second * seconds`` lines. A task
+    has ``LINES_PER_TASK`` of them at most, and their partitions are in order too; a ``send`` that
+    is ``in_turn``, as for a topic, gets them one after the other. A batch that takes longer
+    delays the next, so the pace is the fastest there can be. A replay keeps its pace and lines
+    from start to start: the checkpoint counts batches of one size.
     """
     spark = numbered.sparkSession
     lines_a_batch = max(1, round(rows_per_second * seconds))
@@ -79,9 +95,12 @@ def run_paced_replay(
             # All batches with lines are committed by now.
             done.set()
             return
-        due = numbered.filter(F.col(NUMBER).between(first + 1, until + 1))
-        in_order = due.coalesce(1).sortWithinPartitions(NUMBER)
-        send(to_event_json(in_order), batch_id)
+        until = min(until + 1, last)
+        piece = LINES_PER_TASK if getattr(send, "in_turn", False) else until - first
+        for start in range(first + 1, until + 1, piece):
+            end = min(start + piece - 1, until)
+            due = numbered.filter(F.col(NUMBER).between(start, end))
+            send(_in_order(due, end - start + 1), batch_id)
 
     query = (
         spark.readStream.format("rate-micro-batch")
