@@ -77,6 +77,13 @@ def test_pieces_of_parts_make_the_metrics_of_the_whole(spark):
     assert_same(pieces_metrics(merge_pieces(early.unionByName(window_pieces(lines[2])))), whole)
 
 
+def test_stored_pieces_make_the_same_metrics(spark):
+    batches = batches_of(spark, 3)
+    pieces = [window_pieces(b) for b in batches]
+    merged = merge_pieces(union(pieces))
+    assert_same(pieces_metrics(merged, stored=True), window_metrics(union(batches)))
+
+
 def test_windows_of_several_batches_and_a_retry(spark, tables):
     batches = batches_of(spark, 3)
     put(batches, (0, 1, 1, 2, 2), tables)
@@ -140,6 +147,51 @@ def test_one_file_for_a_day_of_many_batches(spark, tables):
     assert len([n for n in os.listdir(folder) if n.endswith(".parquet")]) == 1
 
 
+def test_days_of_few_rows_are_merged_by_a_task_each(spark, tables):
+    put(batches_of(spark, 2), (0, 1), tables)
+    store.merge_closed_days(spark, 1, LATER, *tables)
+    for table in tables:
+        _, manifest = generations.read_manifest(spark, table)
+        (generation,) = {merged.generation for merged in manifest.values()}
+        found = [
+            name.split("-")[1]
+            for day in manifest
+            for name in os.listdir(os.path.join(table, "_generations", generation, f"day={day}"))
+            if name.endswith(".parquet")
+        ]
+        # A file a day, by more than one task.
+        assert len(found) == len(manifest) > 2 and len(set(found)) > 1
+
+
+def test_spans_of_days_are_few(monkeypatch):
+    days = [{"first": 86_400 * n + 10, "last": 86_400 * (n + 1) - 10} for n in range(30)]
+    assert store._spans(days) == [(0, 86_400 * 30)]
+    assert store._spans(days[:3] + days[9:10]) == [(0, 86_400 * 3), (86_400 * 9, 86_400 * 10)]
+    apart = [{"first": 86_400 * n + 700 * (n % 7), "last": 86_400 * n + 9_000} for n in range(30)]
+    spans = store._spans(apart)
+    assert len(spans) == store.MOST_SPANS
+    for day in apart:
+        assert [1 for since, until in spans if since <= day["first"] and day["last"] < until] == [1]
+    assert len(store._spans(apart[:5])) == 5
+
+
+def test_windows_of_a_batch_are_found_without_the_bounds_of_its_days(spark, tables, monkeypatch):
+    batches = batches_of(spark, 2)
+    plans = []
+    write = store._write_metrics
+
+    def seen(windows, *rest):
+        plans.append(windows._jdf.queryExecution().optimizedPlan().toString())
+        write(windows, *rest)
+
+    monkeypatch.setattr(store, "_write_metrics", seen)
+    put(batches, (0, 1), tables)
+    check(spark, tables, batches)
+    for plan in plans:
+        # The events are read for the windows below what is kept of them.
+        assert "Join LeftSemi" in plan and "InMemoryRelation [window_start" in plan
+
+
 def test_batches_that_are_not_committed_are_left_alone(spark, tables):
     batches = batches_of(spark, 3)
     put(batches, (0, 1, 2), tables)

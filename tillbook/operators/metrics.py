@@ -114,23 +114,29 @@ def merge_pieces(pieces: DataFrame) -> DataFrame:
     )
 
 
-def pieces_metrics(pieces: DataFrame) -> DataFrame:
+def pieces_metrics(pieces: DataFrame, stored: bool = False) -> DataFrame:
     """The metrics of every window from its pieces, each given once.
 
     Two small roll-ups; each combines before its shuffle and groups by more than the window
     until the last, so that a window with very many pieces is worked on by many tasks.
+
+    Only products' amounts count. With ``stored``, for pieces that come from files, invoices are
+    read apart from them, by name only, so that their amounts are neither merged nor shuffled.
     """
     start, invoice, code, country = "window_start", "invoice_no", "stock_code", "country"
     # grouping_id sets a bit for each column left out, the last column lowest.
     by_invoice = F.col("piece") == 0b0011
     by_code = F.col("piece") == 0b0101
     by_country = F.col("piece") == 0b0010
-    rolled = pieces.groupBy(start, "piece", code, country).agg(
-        F.count(invoice).alias("invoices"),
-        F.sum("units").alias("units"),
-        *_sums(),
-        F.sum("priced").alias("priced"),
-    )
+    counted = F.count(invoice).alias("invoices")
+    summed = (F.sum("units").alias("units"), *_sums(), F.sum("priced").alias("priced"))
+    keys = (start, "piece", code, country)
+    if stored:
+        invoices = pieces.filter(~by_code).groupBy(*keys).agg(counted)
+        products = pieces.filter(by_code).groupBy(*keys).agg(*summed)
+        rolled = products.unionByName(invoices, allowMissingColumns=True)
+    else:
+        rolled = pieces.groupBy(*keys).agg(counted, *summed)
     return (
         rolled.groupBy(start)
         .agg(

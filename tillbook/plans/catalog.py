@@ -199,11 +199,11 @@ def _stream_folders(spark: SparkSession) -> _Folders:
 
 
 def _go_on(spark: SparkSession, folders: _Folders, messages: DataFrame, strict: bool = False) -> None:
-    """Send some messages and work them off in a few batches."""
-    write_events_to_folder(messages.repartition(_STREAM_BATCHES), f"{folders.root}/messages")
-    files = -(-_STREAM_BATCHES // 2)
+    """Send some messages and work them off in two batches."""
+    files = max(_STREAM_BATCHES, -(-messages.count() // _MESSAGES_PER_FILE))
+    write_events_to_folder(messages.repartition(files), f"{folders.root}/messages")
     run_order_stream(
-        read_folder(spark, f"{folders.root}/messages", files),
+        read_folder(spark, f"{folders.root}/messages", -(-files // 2)),
         folders.store,
         folders.metrics,
         folders.checkpoint,
@@ -215,6 +215,14 @@ def _go_on(spark: SparkSession, folders: _Folders, messages: DataFrame, strict:
     ).awaitTermination()
 
 
+def _in_halves(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """The messages of all order events in two halves, written once for both."""
+    messages = fixtures.order_messages(fixtures.order_events(spark, sf_dir))
+    half = F.pmod(F.xxhash64("value"), F.lit(2))
+    written = stage(messages.withColumn("half", half), "messages")
+    return [written.filter(F.col("half") == turn).select("value") for turn in (0, 1)]
+
+
 def _merged_stream(spark: SparkSession, sf_dir: str) -> _Folders:
     """A stream of all order events, some days of which are merged while it still goes on.
 
@@ -222,11 +230,10 @@ def _merged_stream(spark: SparkSession, sf_dir: str) -> _Folders:
     dropped; the second half brings late events for all of them. Then other days are merged.
     """
     folders = _stream_folders(spark)
-    messages = fixtures.order_messages(fixtures.order_events(spark, sf_dir))
-    half = F.pmod(F.xxhash64("value"), F.lit(2))
     tables = (folders.store, folders.metrics, folders.pieces)
-    for turn, before in enumerate((MERGED_FIRST, MERGED_LAST)):
-        _go_on(spark, folders, messages.filter(half == turn))
+    halves = _in_halves(spark, sf_dir)
+    for messages, before in zip(halves, (MERGED_FIRST, MERGED_LAST), strict=True):
+        _go_on(spark, folders, messages)
         committed = committed_batch(spark, folders.checkpoint)
         store.merge_closed_days(spark, committed, before, *tables)
         for table in tables:
@@ -248,10 +255,8 @@ def stream_compacted_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_piece_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The metrics put together from the pieces of all batches, a half of the events a start."""
     folders = _stream_folders(spark)
-    messages = fixtures.order_messages(fixtures.order_events(spark, sf_dir))
-    half = F.pmod(F.xxhash64("value"), F.lit(2))
-    for turn in (0, 1):
-        _go_on(spark, folders, messages.filter(half == turn))
+    for messages in _in_halves(spark, sf_dir):
+        _go_on(spark, folders, messages)
     return _plain_metrics(store.read_piece_metrics(spark, folders.pieces))
 
 

@@ -149,12 +149,17 @@ def merge_days(
     rows = read_table(spark, table, schema, pending, committed)
     if merge is not None:
         rows = stage(merge(rows).select(schema.names), "merged")
-    # Sorted by time across files, so that readers of a span skip most of a day.
-    files = max(1, -(-rows.count() // ROWS_PER_FILE))
+    rows = rows.withColumn("day", F.coalesce(F.col("date").cast("string"), F.lit(UNDATED)))
+    sizes = [row["count"] for row in rows.groupBy("day").count().collect()]
+    if max(sizes, default=0) <= ROWS_PER_FILE:
+        # A task and a file for a day.
+        ranged = rows.repartitionByRange(len(pending), "day")
+    else:
+        # Sorted by time across files, so that readers of a span skip most of a day.
+        files = -(-sum(sizes) // ROWS_PER_FILE)
+        ranged = rows.repartitionByRange(files, "day", order_by, F.xxhash64(*schema.names))
     (
-        rows.withColumn("day", F.coalesce(F.col("date").cast("string"), F.lit(UNDATED)))
-        .repartitionByRange(files, "day", order_by, F.xxhash64(*schema.names))
-        .sortWithinPartitions("day", order_by)
+        ranged.sortWithinPartitions("day", order_by)
         .write.partitionBy("day")
         .parquet(f"{table}/{_GENERATIONS}/{generation}")
     )

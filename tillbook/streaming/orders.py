@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tillbook.operators.events import REASON, enrich_events, parse_events, sort_out_events
+from tillbook.operators.events import MESSAGE, REASON, enrich_events, parse_events, sort_out_events
 from tillbook.schemas import STREAM_FALLBACK_RATE
 from tillbook.streaming.identity import claim_run
 from tillbook.streaming.quarantine import put_aside, readable
@@ -28,6 +29,10 @@ def store_batch(
     quarantine: str | None = None,
 ) -> None:
     """All sinks of one micro-batch. Errors stop the stream, so no batch is skipped."""
+    if REASON in batch.columns:
+        # Texts of readable messages are not kept.
+        unread = F.when(F.col(REASON).isNotNull(), F.col(MESSAGE))
+        batch = batch.withColumn(MESSAGE, unread)
     batch.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         events = batch

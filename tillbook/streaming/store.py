@@ -7,8 +7,12 @@ together, see ``identity``; closed days are merged into few files, see ``generat
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import reduce
+from itertools import pairwise
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -32,6 +36,8 @@ from tillbook.sinks.lake import write_partitions
 from tillbook.streaming.generations import UNDATED, merge_days, merged_rows, read_table
 
 ROWS_PER_FILE = 500_000
+# Bounds of more spans make generated code too long to be compiled.
+MOST_SPANS = 8
 
 
 def batch_days(batch: DataFrame) -> list[Row]:
@@ -114,23 +120,48 @@ def read_events(spark: SparkSession, store: str) -> DataFrame:
     return read_table(spark, store, STORED_EVENT)
 
 
-def _window_of(second: int, later: int = 0) -> Column:
-    start = second // METRIC_WINDOW_SECONDS + later
-    return F.timestamp_seconds(F.lit(start * METRIC_WINDOW_SECONDS))
+def _spans(days: list[Row]) -> list[tuple[int, int]]:
+    """From the first window of each day to its last, in epoch seconds, ``MOST_SPANS`` at most.
+
+    Spans that meet are one; of more, those with the smallest gaps between them are put together.
+    """
+    size = METRIC_WINDOW_SECONDS
+    spans = sorted(
+        (day["first"] // size * size, (day["last"] // size + 1) * size) for day in days
+    )
+    gaps = sorted(((b[0] - a[1], i) for i, (a, b) in enumerate(pairwise(spans), 1)), reverse=True)
+    cuts = sorted(i for gap, i in gaps[: MOST_SPANS - 1] if gap > 0)
+    return [
+        (spans[i][0], spans[j - 1][1]) for i, j in pairwise([0, *cuts, len(spans)])
+    ]
 
 
 def _read_days(
     spark: SparkSession, table: str, schema: T.StructType, moment: str, days: list[Row]
 ) -> DataFrame:
-    """Rows of the given days, on each from the first window of the batch to its last."""
+    """Rows of the given days, on each at least from the first window of the batch to its last."""
     rows = read_table(spark, table, schema, [day["date"] for day in days])
 
-    def touched(day: Row) -> Column:
+    def touched(span: tuple[int, int]) -> Column:
         """Files hold narrow time spans, so these bounds skip most of a day that grows."""
-        since, until = _window_of(day["first"]), _window_of(day["last"], 1)
+        since, until = (F.timestamp_seconds(F.lit(second)) for second in span)
         return (F.col(moment) >= since) & (F.col(moment) < until)
 
-    return rows.filter(reduce(Column.__or__, map(touched, days)))
+    return rows.filter(reduce(Column.__or__, map(touched, _spans(days))))
+
+
+@contextmanager
+def _touched_windows(batch: DataFrame) -> Iterator[DataFrame]:
+    """The windows that a batch has an event in, worked out once: 288 at most for each of its days.
+
+    Kept, because otherwise a join with them would also put its other side's bounds to every event,
+    and for each table of a union again.
+    """
+    windows = in_windows(batch).distinct().persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield F.broadcast(windows)
+    finally:
+        windows.unpersist()
 
 
 def _write_metrics(windows: DataFrame, batch_id: int, metrics: str, tasks: int) -> None:
@@ -156,11 +187,10 @@ def refresh_metrics(
         return
     lines = _read_days(batch.sparkSession, store, STORED_EVENT, "invoice_date", dated_days)
     columns = [f.name for f in STORED_EVENT if f.name not in ("date", "batch_id")]
-    # At most 288 windows a day of the batch: small whatever the number of events.
-    touched = F.broadcast(in_windows(batch).distinct())
-    in_touched = in_windows(lines, *columns).join(touched, "window_start", "left_semi")
-    windows = window_metrics(in_touched.select(columns))
-    _write_metrics(windows, batch_id, metrics, _day_tasks(batch, dated_days))
+    with _touched_windows(batch) as touched:
+        in_touched = in_windows(lines, *columns).join(touched, "window_start", "left_semi")
+        windows = window_metrics(in_touched.select(columns))
+        _write_metrics(windows, batch_id, metrics, _day_tasks(batch, dated_days))
 
 
 def append_pieces(
@@ -200,10 +230,10 @@ def refresh_from_pieces(
     if not dated_days:
         return
     stored = _read_days(batch.sparkSession, pieces, METRIC_PIECES, "window_start", dated_days)
-    touched = F.broadcast(in_windows(batch).distinct())
-    in_touched = stored.join(touched, "window_start", "left_semi")
-    windows = pieces_metrics(merge_pieces(in_touched))
-    _write_metrics(windows, batch_id, metrics, _day_tasks(batch, dated_days))
+    with _touched_windows(batch) as touched:
+        in_touched = stored.join(touched, "window_start", "left_semi")
+        windows = pieces_metrics(merge_pieces(in_touched), stored=True)
+        _write_metrics(windows, batch_id, metrics, _day_tasks(batch, dated_days))
 
 
 def backfill_pieces(spark: SparkSession, store: str, pieces: str, committed: int) -> None:
@@ -222,7 +252,8 @@ def backfill_pieces(spark: SparkSession, store: str, pieces: str, committed: int
 
 def read_piece_metrics(spark: SparkSession, pieces: str) -> DataFrame:
     """The metrics of every window, put together from the pieces of all batches."""
-    return pieces_metrics(merge_pieces(read_table(spark, pieces, METRIC_PIECES)))
+    merged = merge_pieces(read_table(spark, pieces, METRIC_PIECES))
+    return pieces_metrics(merged, stored=True)
 
 
 def latest_metrics(stored: DataFrame) -> DataFrame:
